@@ -180,3 +180,17 @@ def range_report(channels: Channels) -> DataFrame:
 def null_report(channels: Channels) -> DataFrame:
     """Nulls in each column; none is allowed in any."""
     return _reports(channels, lambda c: {f.name: F.col(f.name).isNull() for f in c.schema})
+
+
+def scan_counts(channels: Channels) -> DataFrame:
+    """Rows and customers of each channel table."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.count_distinct("email").alias("customers"),
+            ).select(F.lit(c.key).alias("channel"), "row_count", "customers")
+            for c, df in described(channels)
+        ],
+    )
