@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tessera.functions import display
 from tessera.operators.rollups import customer_activity
 from tessera.schemas import CARD, MOBILE, PARTNER, WEB, Channel
-from tessera.session import checkpointed
+from tessera.session import stored
 from tessera.sources.tables import Channels, described
 
 PAGE_EVENTS = 50_000  # events per channel and page
@@ -24,8 +24,10 @@ BROADCAST_ROWS = 100_000  # a list of e-mails up to this length is broadcast
 
 
 def event_struct(channel: Channel) -> Column:
-    types = {f.name: f.dataType for f in channel.event_type}
-    return F.struct(*(F.col(f).cast(types[f]).alias(f) for f in channel.event_fields))
+    fields = (
+        f"'{f.name}', cast({f.name} as {f.dataType.simpleString()})" for f in channel.event_type
+    )
+    return F.expr(f"named_struct({', '.join(fields)})")
 
 
 def collect_events(channel: Channel) -> Column:
@@ -49,19 +51,20 @@ def no_events(channel: Channel) -> Column:
 class LongHistories:
     """The customers whose history exceeds one page, found from their event counts.
 
-    The counting reads e-mails only and combines before its shuffle. The list is
-    checkpointed: it is tiny against its cost, and several joins read it.
+    The counting reads e-mails only and combines before its shuffle. The list is stored: it
+    is short against what it takes to find it, and several joins read it.
     """
 
     def __init__(self, counts: DataFrame, channels: list[Channel], page_events: int):
-        pages = {c.key: F.ceil(F.col(c.count) / page_events).cast("int") for c in channels}
-        most = F.greatest(*pages.values()) if len(pages) > 1 else next(iter(pages.values()))
-        listed = counts.select(
-            "email", most.alias("pages"), *(p.alias(f"{k}_pages") for k, p in pages.items())
-        ).filter("pages > 1")
+        pages = [f"int(ceil({c.count} / {page_events})) as {c.key}_pages" for c in channels]
+        names = ", ".join(f"{c.key}_pages" for c in channels)
+        # The zero keeps greatest() valid for a single channel.
+        listed = counts.selectExpr("email", *pages).selectExpr(
+            "*", f"greatest(0, {names}) as pages"
+        )
         self.page_events = page_events
-        self.table = checkpointed(listed)
-        size = self.table.limit(BROADCAST_ROWS + 1).count()
+        self.table = stored(listed.filter("pages > 1"))
+        size = self.table.count()
         self.empty = size == 0
         # Beyond the limit the joins shuffle, where adaptive execution splits hot e-mails.
         self.joinable = F.broadcast(self.table) if size <= BROADCAST_ROWS else self.table

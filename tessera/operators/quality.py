@@ -8,20 +8,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from tessera.functions.amounts import (
-    half_even,
-    installment_amount,
-    monthly_payment,
-    plan_installments,
-    utilization_pct,
-)
+from pyspark.sql import DataFrame
+
 from tessera.schemas import (
     CARD,
     DATE_WINDOWS,
     DOMAINS,
+    INSTALLMENTS,
     MOBILE,
     PARTNER,
     RANGES,
@@ -31,19 +24,15 @@ from tessera.schemas import (
 from tessera.sources.tables import Channels, described
 
 
-def rule_report(df: DataFrame, channel: Channel, rules: dict[str, Column]) -> DataFrame:
-    """``rules``: name -> whether a row breaks it. A rule that is null does not count."""
-    names = list(rules)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows_checked"),
-        *(F.count_if(rules[name]).alias(f"rule_{i}") for i, name in enumerate(names)),
-    )
-    rows = F.array(*(
-        F.struct(F.lit(name).alias("rule"), F.col(f"rule_{i}").alias("violations"))
-        for i, name in enumerate(names)
-    ))
-    return counts.select("rows_checked", F.inline(rows)).select(
-        F.lit(channel.key).alias("channel"), "rule", "rows_checked", "violations"
+def rule_report(df: DataFrame, channel: Channel, rules: dict[str, str]) -> DataFrame:
+    """``rules``: name -> SQL condition that a row breaking it meets. A condition that is
+    null does not count."""
+    counts = [f"count_if({broken}) as rule_{i}" for i, broken in enumerate(rules.values())]
+    rows = ", ".join(f"'{name}', rule_{i}" for i, name in enumerate(rules))
+    return df.selectExpr("count(*) as rows_checked", *counts).selectExpr(
+        f"'{channel.key}' as channel",
+        f"stack({len(rules)}, {rows}) as (rule, violations)",
+        "rows_checked",
     )
 
 
@@ -54,64 +43,78 @@ def _reports(channels: Channels, rules_of) -> DataFrame:
     )
 
 
+def _words(values) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+def scan_counts(channels: Channels) -> DataFrame:
+    """Rows and customers of each channel table."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.selectExpr("count(*) as row_count", "count(distinct email) as customers")
+            .selectExpr(f"'{c.key}' as channel", "row_count", "customers")
+            for c, df in described(channels)
+        ],
+    )
+
+
 def installment_check(mobile: DataFrame) -> DataFrame:
-    wrong = ~F.col("installments").eqNullSafe(plan_installments("bnpl_plan"))
-    return rule_report(mobile, MOBILE, {"installments_of_plan": wrong})
+    known = " ".join(f"when '{plan}' then {n}" for plan, n in INSTALLMENTS.items())
+    return rule_report(
+        mobile,
+        MOBILE,
+        {"installments_of_plan": f"not (installments <=> case bnpl_plan {known} end)"},
+    )
 
 
 def derived_amount_violations(channels: Channels) -> DataFrame:
     """Stored instalments and monthly payments that differ from their derivation."""
-    return _reports(
-        {k: channels[k] for k in (MOBILE.key, PARTNER.key) if k in channels},
-        lambda c: {
-            MOBILE.key: {
-                "installment_amount": F.col("installment_amount")
-                != installment_amount("order_amount", "installments")
-            },
-            PARTNER.key: {
-                "monthly_payment": F.col("monthly_payment")
-                != monthly_payment("principal_amount", "apr_pct", "term_months")
-            },
-        }[c.key],
-    )
+    rules = {
+        MOBILE.key: {
+            "installment_amount": "installment_amount <> bround(order_amount / installments, 2)"
+        },
+        PARTNER.key: {
+            "monthly_payment": "monthly_payment <> "
+            "bround(principal_amount * (1 + apr_pct / 100) / term_months, 2)"
+        },
+    }
+    given = {k: df for k, df in channels.items() if k in rules}
+    return _reports(given, lambda c: rules[c.key])
 
 
 def utilization_check(card: DataFrame) -> DataFrame:
-    limit = F.when(F.col("credit_limit") != 0, F.col("credit_limit"))
-    off = F.abs(F.col("utilization_pct") - utilization_pct("current_balance", limit))
+    share = "bround(current_balance * 100 / nullif(credit_limit, 0), 2)"
     return rule_report(
         card,
         CARD,
         {
-            "utilization_of_balance": off > F.lit("0.01").cast("decimal(3,2)"),
-            "utilization_over_100": F.col("utilization_pct") > 100,
+            "utilization_of_balance": f"abs(utilization_pct - {share}) > 0.01",
+            "utilization_over_100": "utilization_pct > 100",
         },
     )
 
 
 def funding_rule_violations(web: DataFrame) -> DataFrame:
-    passed = F.col("kyc_status") == "passed"
-    lowest = half_even(F.col("requested_amount") * F.lit("0.6").cast("decimal(2,1)"))
-    in_share = F.col("funded_amount").between(lowest, F.col("requested_amount"))
+    share = "funded_amount between bround(requested_amount * 0.6, 2) and requested_amount"
     return rule_report(
         web,
         WEB,
         {
-            "unfunded_unless_passed": ~passed & (F.col("funded_amount") != 0),
-            "funded_share_when_passed": passed & ~in_share,
+            "unfunded_unless_passed": "kyc_status <> 'passed' and funded_amount <> 0",
+            "funded_share_when_passed": f"kyc_status = 'passed' and not ({share})",
         },
     )
 
 
 def delinquency_rule_violations(card: DataFrame) -> DataFrame:
-    behind = F.col("payment_behavior") == "behind"
-    days = F.col("delinquency_days")
     return rule_report(
         card,
         CARD,
         {
-            "no_days_unless_behind": ~behind & (days != 0),
-            "days_30_60_90_when_behind": behind & ~days.isin(30, 60, 90),
+            "no_days_unless_behind": "payment_behavior <> 'behind' and delinquency_days <> 0",
+            "days_30_60_90_when_behind": "payment_behavior = 'behind' and "
+            "delinquency_days not in (30, 60, 90)",
         },
     )
 
@@ -119,59 +122,52 @@ def delinquency_rule_violations(card: DataFrame) -> DataFrame:
 def accepted_values_report(channels: Channels) -> DataFrame:
     return _reports(
         channels,
-        lambda c: {name: ~F.col(name).isin(*words) for name, words in DOMAINS[c.key].items()},
+        lambda c: {
+            name: f"{name} not in ({_words(words)})" for name, words in DOMAINS[c.key].items()
+        },
     )
 
 
-def _after(text: Column, prefix: Column) -> Column:
-    """What follows ``prefix`` in ``text``; null if it does not start with it."""
-    return F.when(text.startswith(prefix), F.substring(text, F.length(prefix) + 1, F.length(text)))
-
-
-def _breaks(text: Column, pattern: str) -> Column:
-    return ~F.coalesce(text.rlike(pattern), F.lit(False))
+def _continues(text: str, prefix: str, pattern: str) -> str:
+    """Whether ``text`` is ``prefix`` followed by ``pattern``; null if either is."""
+    rest = f"substring({text}, length({prefix}) + 1)"
+    return f"(startswith({text}, {prefix}) and {rest} rlike '{pattern}')"
 
 
 def id_format_violations(channels: Channels) -> DataFrame:
     """Ids of the form PREFIX-<customer id>-001 and CUST0001, and e-mails made of the row's
-    own names: first.last001@domain."""
-    name = F.concat(F.lower("first_name"), F.lit("."), F.lower("last_name"))
-
-    def rules(c: Channel) -> dict[str, Column]:
-        prefix = F.concat(F.lit(f"{c.id_prefix}-"), "customer_id", F.lit("-"))
-        email = F.col("email")
-        return {
-            c.id_field: _breaks(_after(F.col(c.id_field), prefix), r"^[0-9]{3,}$"),
-            "customer_id": _breaks(F.col("customer_id"), r"^CUST[0-9]{4,}$"),
-            "email_names": ~F.coalesce(email.startswith(name), F.lit(False)),
-            "email": _breaks(_after(email, name), r"^[0-9]{3,}@[^@]+$"),
+    own names: first.last001@domain. A missing value breaks the rule."""
+    names = "concat(lower(first_name), '.', lower(last_name))"
+
+    def rules(c: Channel) -> dict[str, str]:
+        prefix = f"concat('{c.id_prefix}-', customer_id, '-')"
+        good = {
+            c.id_field: _continues(c.id_field, prefix, "^[0-9]{3,}$"),
+            "customer_id": "customer_id rlike '^CUST[0-9]{4,}$'",
+            "email_names": f"startswith(email, {names})",
+            "email": _continues("email", names, "^[0-9]{3,}@[^@]+$"),
         }
+        return {name: f"not coalesce({rule}, false)" for name, rule in good.items()}
 
     return _reports(channels, rules)
 
 
-def _outside(column: str, low: Column, high: Column) -> Column:
-    return ~F.col(column).between(low, high)
-
-
 def range_report(channels: Channels) -> DataFrame:
     """Dates outside their channel's window and numbers outside their range. Order times
     may run to the end of the day after the window's last."""
 
-    def rules(c: Channel) -> dict[str, Column]:
+    def rules(c: Channel) -> dict[str, str]:
         first, days = DATE_WINDOWS[c.key]
-        start = F.lit(first).cast("date")
-        end = F.date_add(start, days)
+        start, end = f"date '{first}'", f"date_add(date '{first}', {days})"
         if c is MOBILE:
-            start = start.cast("timestamp")
-            end = end.cast("timestamp") + F.expr("interval 1440 minutes")
-        found = {c.time_field: _outside(c.time_field, start, end)}
+            start = f"timestamp({start})"
+            end = f"timestamp({end}) + interval 1440 minutes"
+        found = {c.time_field: f"{c.time_field} not between {start} and {end}"}
         for name, (low, high) in RANGES[c.key].items():
-            low, high = (F.lit(x).cast("decimal(12,2)") for x in (low, high))
-            found[name] = _outside(name, low, high)
+            found[name] = f"{name} not between {low} and {high}"
         if c is CARD:
-            most = half_even(F.col("credit_limit") * F.lit("1.05").cast("decimal(3,2)"))
-            found["current_balance"] = _outside("current_balance", F.lit(0), most)
+            most = "bround(credit_limit * 1.05, 2)"
+            found["current_balance"] = f"current_balance not between 0 and {most}"
         return found
 
     return _reports(channels, rules)
@@ -179,18 +175,4 @@ def range_report(channels: Channels) -> DataFrame:
 
 def null_report(channels: Channels) -> DataFrame:
     """Nulls in each column; none is allowed in any."""
-    return _reports(channels, lambda c: {f.name: F.col(f.name).isNull() for f in c.schema})
-
-
-def scan_counts(channels: Channels) -> DataFrame:
-    """Rows and customers of each channel table."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(
-                F.count(F.lit(1)).alias("row_count"),
-                F.count_distinct("email").alias("customers"),
-            ).select(F.lit(c.key).alias("channel"), "row_count", "customers")
-            for c, df in described(channels)
-        ],
-    )
+    return _reports(channels, lambda c: {f.name: f"{f.name} is null" for f in c.schema})

@@ -13,56 +13,59 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.schemas import CHANNELS, ROLLUPS, Channel, Rollup
+from tessera.schemas import CHANNELS, ROLLUPS, Channel
 from tessera.sources.tables import Channels, described
 
-_COMBINE = {"count": F.sum, "sum": F.sum, "max": F.max}
+_COMBINE = {"count": "sum", "sum": "sum", "max": "max"}
+
+CHANNELS_USED = (
+    "array_compact(array("
+    + ", ".join(f"if({c.count} > 0, '{c.key}', null)" for c in CHANNELS)
+    + ")) as channels_used"
+)
+CHANNEL_COUNT = (
+    " + ".join(f"if({c.count} > 0, 1, 0)" for c in CHANNELS) + " as channel_count"
+)
+# Zero where the customer has no row. A row without an e-mail belongs to no customer, so it
+# adds nothing.
+ZERO_FILLED = {
+    r.name: f"cast(coalesce(if(email is null, null, {r.name}), 0) as {r.type.simpleString()}) "
+    f"as {r.name}"
+    for r in ROLLUPS
+}
 
 
 def channel_rollup(df: DataFrame, channel: Channel, *more: Column) -> DataFrame:
     """One row per e-mail of one channel: its roll-ups and any further aggregates."""
-    measures = []
-    for r in channel.rollups:
-        how = F.count(F.lit(1)) if r.how == "count" else _COMBINE[r.how](r.source)
-        measures.append(how.alias(r.name))
-    return df.groupBy("email").agg(*measures, *more)
+    measures = (f"{r.how}({r.source or '*'}) as {r.name}" for r in channel.rollups)
+    return df.groupBy("email").agg(*map(F.expr, measures), *more)
+
+
+def completed(df: DataFrame) -> DataFrame:
+    """Adds what is missing to a frame with one row per e-mail and some channels' roll-ups:
+    zeros, the list of channels and their count."""
+    absent = [
+        f"cast(null as {r.type.simpleString()}) as {r.name}"
+        for r in ROLLUPS
+        if r.name not in df.columns
+    ]
+    if absent:
+        df = df.selectExpr("*", *absent)
+    others = [c for c in df.columns if c not in ZERO_FILLED]
+    return df.selectExpr(*others, *ZERO_FILLED.values()).selectExpr(
+        "*", CHANNELS_USED, CHANNEL_COUNT
+    )
 
 
 def merge_channels(summaries: dict[str, DataFrame], *more: Column) -> DataFrame:
-    """One row per e-mail out of one summary per channel, keyed by channel: the roll-ups,
-    zero where the customer has no row, and any further aggregates."""
-    parts = [df for _, df in described(summaries)]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    given = [r for c in CHANNELS if c.key in summaries for r in c.rollups]
-    merged = stacked.groupBy("email").agg(
-        *(_COMBINE[r.how](r.name).alias(r.name) for r in given), *more
+    """One row per e-mail out of one summary per channel, keyed by channel: the roll-ups
+    and any further aggregates."""
+    parts = described(summaries)
+    stacked = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [df for _, df in parts]
     )
-    absent = {r.name: F.lit(None).cast(r.type) for r in ROLLUPS if r not in given}
-    return with_channels(merged.withColumns(absent).withColumns(zero_filled()))
-
-
-def _zero_filled(rollup: Rollup) -> Column:
-    # A row without an e-mail belongs to no customer, so it adds nothing.
-    known = F.when(F.col("email").isNotNull(), F.col(rollup.name))
-    return F.coalesce(known, F.lit(0)).cast(rollup.type)
-
-
-def zero_filled() -> dict[str, Column]:
-    return {r.name: _zero_filled(r) for r in ROLLUPS}
-
-
-def channels_used() -> Column:
-    present = (F.when(F.col(c.count) > 0, c.key) for c in CHANNELS)
-    return F.array_compact(F.array(*present))
-
-
-def channel_count() -> Column:
-    flags = [F.when(F.col(c.count) > 0, 1).otherwise(0) for c in CHANNELS]
-    return reduce(Column.__add__, flags)
-
-
-def with_channels(df: DataFrame) -> DataFrame:
-    return df.withColumns({"channels_used": channels_used(), "channel_count": channel_count()})
+    totals = [f"{_COMBINE[r.how]}({r.name}) as {r.name}" for c, _ in parts for r in c.rollups]
+    return completed(stacked.groupBy("email").agg(*map(F.expr, totals), *more))
 
 
 def customer_activity(channels: Channels) -> DataFrame:

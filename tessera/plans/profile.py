@@ -16,12 +16,7 @@ from tessera.operators.events import (
     no_events,
 )
 from tessera.operators.identity import identity_resolution, smallest_identity
-from tessera.operators.rollups import (
-    channel_rollup,
-    merge_channels,
-    with_channels,
-    zero_filled,
-)
+from tessera.operators.rollups import channel_rollup, completed, merge_channels
 from tessera.schemas import CHANNELS, FLAT_COLUMNS, PROFILE_COLUMNS
 from tessera.sources.tables import Channels, described
 
@@ -34,9 +29,7 @@ def profile_flat_joined(channels: Channels) -> DataFrame:
     profile = identity_resolution(channels)
     for channel, df in described(channels):
         profile = profile.join(channel_rollup(df, channel), "email", "left")
-    absent = [r for c in CHANNELS if c.key not in channels for r in c.rollups]
-    profile = profile.withColumns({r.name: F.lit(None).cast(r.type) for r in absent})
-    return with_channels(profile.withColumns(zero_filled())).select(*FLAT_COLUMNS)
+    return completed(profile).select(*FLAT_COLUMNS)
 
 
 def profile_flat(channels: Channels) -> DataFrame:

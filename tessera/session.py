@@ -1,8 +1,9 @@
-"""Session settings the results depend on, plus the checkpoint folder."""
+"""Session settings the results depend on, and intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,16 +25,21 @@ def build_session(app: str = "tessera", master: str | None = None, **conf) -> Sp
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the cluster's checkpoint folder, so that a lost executor costs a
-    re-read and several consumers share one computation."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tessera-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that every executor can reach."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="tessera-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once for all its readers,
+    and a lost executor costs no more than another read."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

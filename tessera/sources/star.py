@@ -7,144 +7,143 @@ dimension tables that are small get broadcast by their size, large ones are shuf
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tessera.functions.amounts import half_even, installment_amount, monthly_payment
 from tessera.schemas import CARD, MOBILE, PARTNER, WEB
 from tessera.sources.tables import Channels, conform
 
+# Stated, so that building a query starts no job to look into the files.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, "
+    "l_discount double, l_returnflag string, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double",
+}
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+EMAIL = "concat(lower(replace(c_name, '#', '.')), '@example.com')"
 
+IDENTITY = (
+    "concat('CUST', lpad(string(c_custkey), 9, '0')) as customer_id",
+    f"{EMAIL} as email",
+    "split_part(c_name, '#', 1) as first_name",
+    "split_part(c_name, '#', 2) as last_name",
+)
 
-def _pick(key, values, otherwise):
-    """CASE key WHEN 0 THEN values[0] … ELSE otherwise."""
-    column = F.when(key == 0, values[0])
-    for i, value in enumerate(values[1:], start=1):
-        column = column.when(key == i, value)
-    return column.otherwise(otherwise)
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-def customer_email(name="c_name"):
-    return F.concat(F.lower(F.replace(F.col(name), F.lit("#"), F.lit("."))), F.lit("@example.com"))
 
-
-def _identity():
-    return [
-        F.concat(F.lit("CUST"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
-        .alias("customer_id"),
-        customer_email().alias("email"),
-        F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)).alias("first_name"),
-        F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("last_name"),
-    ]
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and identity of every customer; computed before the joins that need them."""
+    return read_table(spark, sf_dir, "customer").selectExpr("c_custkey", *IDENTITY)
 
 
 def mobile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    plan = key % 3
-    rows = (
-        _read(spark, sf_dir, "orders")
-        .join(_read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .filter(F.col("c_custkey") % 3 != 0)
-        .select(
-            F.concat(F.lit("MOB-"), key.cast("string")).alias("order_id"),
-            *_identity(),
-            F.when(key % 2 == 0, "iOS").otherwise("Android").alias("device_platform"),
-            _pick(key % 4, ("6.4.1", "6.5.0", "6.6.2"), "7.0.0").alias("app_version"),
-            F.expr("substr(o_orderpriority, 3)").alias("merchant_category"),
-            _pick(plan, ("pay_in_4", "6mo_installments"), "12mo_installments").alias("bnpl_plan"),
-            _pick(plan, (4, 6), 12).alias("installments"),
-            F.col("o_totalprice").cast("decimal(10,2)").alias("order_amount"),
-            F.when(F.col("o_orderstatus") == "F", "completed")
-            .when(F.col("o_orderstatus") == "O", "active")
-            .otherwise("late_payment").alias("status"),
-            F.col("o_orderdate").alias("order_ts"),
-        )
-        .withColumn("installment_amount", installment_amount("order_amount", "installments"))
-    )
-    return conform(rows, MOBILE)
+    orders = read_table(spark, sf_dir, "orders").filter("o_custkey % 3 <> 0")
+    rows = orders.selectExpr(
+        "o_custkey as c_custkey",
+        "concat('MOB-', o_orderkey) as order_id",
+        "if(o_orderkey % 2 = 0, 'iOS', 'Android') as device_platform",
+        "elt(int(o_orderkey % 4) + 1, '6.4.1', '6.5.0', '6.6.2', '7.0.0') as app_version",
+        "substr(o_orderpriority, 3) as merchant_category",
+        "elt(int(o_orderkey % 3) + 1, 'pay_in_4', '6mo_installments', '12mo_installments') "
+        "as bnpl_plan",
+        "case o_orderkey % 3 when 0 then 4 when 1 then 6 else 12 end as installments",
+        "cast(o_totalprice as decimal(10,2)) as order_amount",
+        "case o_orderstatus when 'F' then 'completed' when 'O' then 'active' "
+        "else 'late_payment' end as status",
+        "o_orderdate as order_ts",
+    ).join(customers(spark, sf_dir), "c_custkey")
+    payment = "bround(order_amount / installments, 2) as installment_amount"
+    return conform(rows.selectExpr("*", payment), MOBILE)
 
 
 def partner_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("l_linenumber")
+    orders = read_table(spark, sf_dir, "orders").filter("o_custkey % 4 = 1")
+    partners = (
+        read_table(spark, sf_dir, "supplier")
+        .join(read_table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey"),
+              "s_nationkey")
+        .selectExpr("s_suppkey as l_suppkey", "s_name as partner_name",
+                    "n_name as partner_segment")
+    )
     rows = (
-        _read(spark, sf_dir, "lineitem")
-        .join(_read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(_read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(_read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(_read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .filter(F.col("c_custkey") % 4 == 1)
-        .select(
-            F.concat(F.lit("PRT-"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                     line.cast("string")).alias("loan_id"),
-            *_identity(),
-            F.col("s_name").alias("partner_name"),
-            F.col("n_name").alias("partner_segment"),
-            _pick(line % 3, ("widget", "redirect"), "headless_api").alias("integration_type"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("principal_amount"),
-            (F.col("l_discount") * 100).cast("decimal(5,2)").alias("apr_pct"),
-            F.when(line <= 2, 3).when(line <= 4, 6).otherwise(12).alias("term_months"),
-            F.when(F.col("l_returnflag") == "A", "approved")
-            .when(F.col("l_returnflag") == "N", "manual_review")
-            .otherwise("declined").alias("approval_status"),
-            F.col("l_shipdate").cast("date").alias("originated_date"),
-        )
-        .withColumn(
-            "monthly_payment", monthly_payment("principal_amount", "apr_pct", "term_months")
+        read_table(spark, sf_dir, "lineitem")
+        .join(orders.selectExpr("o_orderkey as l_orderkey", "o_custkey as c_custkey"),
+              "l_orderkey")
+        .join(customers(spark, sf_dir), "c_custkey")
+        .join(partners, "l_suppkey")
+        .selectExpr(
+            "concat('PRT-', l_orderkey, '-', l_linenumber) as loan_id",
+            "customer_id", "email", "first_name", "last_name",
+            "partner_name", "partner_segment",
+            "elt(l_linenumber % 3 + 1, 'widget', 'redirect', 'headless_api') "
+            "as integration_type",
+            "cast(l_extendedprice as decimal(10,2)) as principal_amount",
+            "cast(l_discount * 100 as decimal(5,2)) as apr_pct",
+            "case when l_linenumber <= 2 then 3 when l_linenumber <= 4 then 6 else 12 end "
+            "as term_months",
+            "case l_returnflag when 'A' then 'approved' when 'N' then 'manual_review' "
+            "else 'declined' end as approval_status",
+            "date(l_shipdate) as originated_date",
         )
     )
-    return conform(rows, PARTNER)
+    payment = (
+        "bround(principal_amount * (1 + apr_pct / 100) / term_months, 2) as monthly_payment"
+    )
+    return conform(rows.selectExpr("*", payment), PARTNER)
 
 
 def web_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("event_id")
-    value = F.col("value").cast("decimal(10,2)")
-    sources = ("google_ads", "meta_ads", "tiktok", "organic", "email")
     rows = (
-        _read(spark, sf_dir, "events")
-        .join(_read(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"))
-        .select(
-            F.concat(F.lit("WEB-"), key.cast("string")).alias("application_id"),
-            *_identity(),
-            _pick(key % 6, sources, "referral").alias("utm_source"),
-            _pick(key % 4, ("medical", "education", "travel"), "wedding").alias("loan_purpose"),
-            (value * 100).alias("requested_amount"),
-            F.when(F.col("event_type").isin("signup", "purchase", "click"), value * 80)
-            .otherwise(0).alias("funded_amount"),
-            (540 + key % 281).alias("credit_score"),
-            F.when(key % 2 == 0, "full_time").otherwise("contractor").alias("employment_status"),
-            (18000 + key % 162000).alias("annual_income"),
-            F.when(F.col("event_type") == "error", "failed")
-            .when(F.col("event_type") == "view", "manual_review")
-            .otherwise("passed").alias("kyc_status"),
-            F.col("ts").cast("date").alias("applied_date"),
+        read_table(spark, sf_dir, "events")
+        .selectExpr(
+            "user_id as c_custkey",
+            "concat('WEB-', event_id) as application_id",
+            "elt(int(event_id % 6) + 1, 'google_ads', 'meta_ads', 'tiktok', 'organic', 'email', "
+            "'referral') as utm_source",
+            "elt(int(event_id % 4) + 1, 'medical', 'education', 'travel', 'wedding') "
+            "as loan_purpose",
+            "cast(value as decimal(10,2)) * 100 as requested_amount",
+            "if(event_type in ('signup', 'purchase', 'click'), "
+            "cast(value as decimal(10,2)) * 80, 0) as funded_amount",
+            "540 + event_id % 281 as credit_score",
+            "if(event_id % 2 = 0, 'full_time', 'contractor') as employment_status",
+            "18000 + event_id % 162000 as annual_income",
+            "case event_type when 'error' then 'failed' when 'view' then 'manual_review' "
+            "else 'passed' end as kyc_status",
+            "date(ts) as applied_date",
         )
+        .join(customers(spark, sf_dir), "c_custkey")
     )
     return conform(rows, WEB)
 
 
 def card_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    cents = F.round(F.col("c_acctbal") * 100).cast("int").cast("decimal(12,0)")
     rows = (
-        _read(spark, sf_dir, "customer")
-        .filter((key % 5 < 2) & (F.col("c_acctbal") >= 0))
-        .select(
-            F.concat(F.lit("CARD-"), key.cast("string")).alias("account_id"),
-            *_identity(),
-            F.col("c_mktsegment").alias("card_partner"),
-            F.lit(10000).alias("credit_limit"),
-            F.col("c_acctbal").cast("decimal(12,2)").alias("current_balance"),
-            half_even(cents / 10000).alias("utilization_pct"),
-            _pick(F.col("c_nationkey") % 4, ("standard", "silver", "gold"), "platinum")
-            .alias("rewards_tier"),
-            _pick(key % 4, ("pays_full", "pays_minimum", "revolves"), "behind")
-            .alias("payment_behavior"),
-            F.when(key % 4 == 3, 30 * (1 + key % 3)).otherwise(0).alias("delinquency_days"),
-            F.when(key % 6 < 4, "active").when(key % 6 == 4, "frozen").otherwise("closed")
-            .alias("account_status"),
-            F.lit("2024-06-01").alias("account_opened"),
+        read_table(spark, sf_dir, "customer")
+        .filter("c_custkey % 5 < 2 and c_acctbal >= 0")
+        .selectExpr(
+            "concat('CARD-', c_custkey) as account_id",
+            *IDENTITY,
+            "c_mktsegment as card_partner",
+            "10000 as credit_limit",
+            "cast(c_acctbal as decimal(12,2)) as current_balance",
+            "bround(cast(round(c_acctbal * 100) as decimal(12,0)) / 10000, 2) "
+            "as utilization_pct",
+            "elt(c_nationkey % 4 + 1, 'standard', 'silver', 'gold', 'platinum') as rewards_tier",
+            "elt(int(c_custkey % 4) + 1, 'pays_full', 'pays_minimum', 'revolves', 'behind') "
+            "as payment_behavior",
+            "if(c_custkey % 4 = 3, 30 * (1 + c_custkey % 3), 0) as delinquency_days",
+            "case when c_custkey % 6 < 4 then 'active' when c_custkey % 6 = 4 then 'frozen' "
+            "else 'closed' end as account_status",
+            "date '2024-06-01' as account_opened",
         )
     )
     return conform(rows, CARD)

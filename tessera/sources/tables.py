@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.schemas import BY_KEY, CHANNELS, Channel
 
@@ -46,17 +45,19 @@ def conform(df: DataFrame, channel: Channel, enforce_required: bool = False) ->
     ``enforce_required`` makes a null in any column fail the job, for use when loading;
     `quality.null_report` counts the nulls of a table that is already there.
     """
-    missing = [f.name for f in channel.schema if f.name not in df.columns]
+    present = df.columns
+    missing = [f.name for f in channel.schema if f.name not in present]
     if missing:
         raise ValueError(f"{channel.table} lacks columns {missing}")
     columns = []
     for field in channel.schema:
-        column = F.col(field.name).cast(field.dataType)
+        kind = field.dataType.simpleString()
+        typed = f"cast({field.name} as {kind})"
         if enforce_required:
-            error = F.raise_error(F.lit(f"null in required column {channel.table}.{field.name}"))
-            column = F.when(column.isNull(), error.cast(field.dataType)).otherwise(column)
-        columns.append(column.alias(field.name))
-    typed = df.select(*columns)
+            error = f"raise_error('null in required column {channel.table}.{field.name}')"
+            typed = f"if({typed} is null, cast({error} as {kind}), {typed})"
+        columns.append(f"{typed} as {field.name}")
+    typed = df.selectExpr(*columns)
     got = [(f.name, f.dataType) for f in typed.schema]
     assert got == [(f.name, f.dataType) for f in channel.schema], got
     return typed
