@@ -66,14 +66,19 @@ class LongHistories:
         self.table = stored(listed.filter("pages > 1"))
         size = self.table.count()
         self.empty = size == 0
-        # Beyond the limit the joins shuffle, where adaptive execution splits hot e-mails.
-        self.joinable = F.broadcast(self.table) if size <= BROADCAST_ROWS else self.table
+        self.few = size <= BROADCAST_ROWS
+
+    def broadcast_if_few(self, df: DataFrame) -> DataFrame:
+        """For frames with a row per listed customer. Too many to broadcast are joined by a
+        shuffle, where adaptive execution splits hot e-mails."""
+        return F.broadcast(df) if self.few else df
 
     def without(self, df: DataFrame) -> DataFrame:
-        return df if self.empty else df.join(self.joinable, "email", "left_anti")
+        listed = self.broadcast_if_few(self.table.select("email"))
+        return df if self.empty else df.join(listed, "email", "left_anti")
 
     def only(self, df: DataFrame) -> DataFrame:
-        return df.join(self.joinable.select("email"), "email", "left_semi")
+        return df.join(self.broadcast_if_few(self.table.select("email")), "email", "left_semi")
 
 
 def find_long_histories(
@@ -92,7 +97,7 @@ def _paged_channel(df: DataFrame, channel: Channel, long: LongHistories) -> Data
     """
     size = long.page_events
     runs = (
-        df.join(long.joinable.select("email", f"{channel.key}_pages"), "email")
+        df.join(long.broadcast_if_few(long.table.select("email", f"{channel.key}_pages")), "email")
         .groupBy("email", f"{channel.key}_pages", event_struct(channel).alias("event"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / size))))

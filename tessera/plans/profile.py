@@ -75,9 +75,12 @@ def profile_nested(
     columns = [c for c in PROFILE_COLUMNS if c != "profile_last_updated"]
     profile = profile.select(*columns, "event_page")
     if long is not None and not long.empty:
-        source = profile_flat(channels) if flat is None else flat.select(*FLAT_COLUMNS)
+        theirs = {key: long.only(df) for key, df in channels.items()}
+        source = profile_flat(theirs) if flat is None else long.only(flat)
         pages = long_history_pages(channels, long).withColumns(absent)
-        profile = profile.unionByName(long.only(source).join(pages, "email"))
+        # Broadcasting the customers leaves one customer's pages spread over the tasks.
+        customers = long.broadcast_if_few(source.select(*FLAT_COLUMNS))
+        profile = profile.unionByName(customers.join(pages, "email"))
     stamp = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return profile.withColumn("profile_last_updated", stamp).select(
         *PROFILE_COLUMNS, "event_page"

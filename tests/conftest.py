@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
         "tests",
         master="local[4]",
         **{
-            "spark.sql.shuffle.partitions": 4,
+            "spark.sql.shuffle.partitions": 2,
             "spark.checkpoint.dir": tmp_path_factory.mktemp("shared"),
             "spark.sql.warehouse.dir": tmp_path_factory.mktemp("warehouse"),
         },
