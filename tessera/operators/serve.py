@@ -199,11 +199,14 @@ def channel_labels(profiles: DataFrame) -> DataFrame:
 
 
 def profile_json(profiles: DataFrame) -> DataFrame:
-    """One JSON text per row of a nested profile, to write as JSON lines."""
-    keys = [c for c in ("email", "event_page") if c in profiles.columns]
-    return profiles.select(
-        *keys, json_object(profiles.schema, LOOKUP_COLUMNS).alias("json")
-    )
+    """One JSON text per row of a nested profile, to write as JSON lines. Only a row that
+    continues a long history also states its ``event_page``."""
+    text = json_object(profiles.schema, LOOKUP_COLUMNS)
+    if "event_page" not in profiles.columns:
+        return profiles.select("email", text.alias("json"))
+    continued = json_object(profiles.schema, (*LOOKUP_COLUMNS, "event_page"))
+    text = F.when(F.col("event_page") > 0, continued).otherwise(text)
+    return profiles.select("email", "event_page", text.alias("json"))
 
 
 def profile_display(profiles: DataFrame) -> DataFrame:

@@ -106,6 +106,20 @@ def test_lookup_gives_all_pages(channels):
     assert sum(len(r["mobile_app_events"]) for r in found) == 9
 
 
+def test_json_of_pages_with_absent_channels(table):
+    rows = [{"email": "a@x.org", "order_id": str(i)} for i in range(9)]
+    only = {"mobile_app": table("mobile_app", *rows)}
+    texts = serve.profile_json(profile_nested(only, page_events=2)).collect()
+    parsed = [json.loads(r["json"]) for r in texts]
+    pages = sorted(p.pop("event_page", 0) for p in parsed)
+    assert pages == list(range(5))
+    assert all(list(p) == list(LOOKUP_COLUMNS) for p in parsed)
+    assert all(p["mobile_app_order_count"] == 9 for p in parsed)
+    assert all(p["web_application_events"] == [] for p in parsed)
+    ids = sorted(e["order_id"] for p in parsed for e in p["mobile_app_events"])
+    assert ids == [str(i) for i in range(9)]
+
+
 def test_lookup_many_and_missing(spark, flat):
     asked = ["CASE@X.ORG", "case@x.org", "ana.roy@x.org", "No@x.org", "No@x.org", None]
     wanted = spark.createDataFrame([(e,) for e in asked], "email string")
