@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from tessera.schemas import INSTALLMENTS
 
+# The derivations as SQL over the channel tables' own columns.
+INSTALLMENT_AMOUNT = "bround(order_amount / installments, 2)"
+MONTHLY_PAYMENT = "bround(principal_amount * (1 + apr_pct / 100) / term_months, 2)"
+UTILIZATION_PCT = "bround(current_balance * 100 / nullif(credit_limit, 0), 2)"
+
 
 def _col(column) -> Column:
     return column if isinstance(column, Column) else F.col(column)

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from tessera.functions.amounts import INSTALLMENT_AMOUNT, MONTHLY_PAYMENT, UTILIZATION_PCT
 from tessera.schemas import (
     CARD,
     DATE_WINDOWS,
@@ -72,11 +73,10 @@ def derived_amount_violations(channels: Channels) -> DataFrame:
     """Stored instalments and monthly payments that differ from their derivation."""
     rules = {
         MOBILE.key: {
-            "installment_amount": "installment_amount <> bround(order_amount / installments, 2)"
+            "installment_amount": f"installment_amount <> {INSTALLMENT_AMOUNT}"
         },
         PARTNER.key: {
-            "monthly_payment": "monthly_payment <> "
-            "bround(principal_amount * (1 + apr_pct / 100) / term_months, 2)"
+            "monthly_payment": f"monthly_payment <> {MONTHLY_PAYMENT}"
         },
     }
     given = {k: df for k, df in channels.items() if k in rules}
@@ -84,12 +84,11 @@ def derived_amount_violations(channels: Channels) -> DataFrame:
 
 
 def utilization_check(card: DataFrame) -> DataFrame:
-    share = "bround(current_balance * 100 / nullif(credit_limit, 0), 2)"
     return rule_report(
         card,
         CARD,
         {
-            "utilization_of_balance": f"abs(utilization_pct - {share}) > 0.01",
+            "utilization_of_balance": f"abs(utilization_pct - {UTILIZATION_PCT}) > 0.01",
             "utilization_over_100": "utilization_pct > 100",
         },
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.functions.amounts import INSTALLMENT_AMOUNT, MONTHLY_PAYMENT
 from tessera.schemas import CARD, MOBILE, PARTNER, WEB
 from tessera.sources.tables import Channels, conform
 
@@ -60,8 +61,7 @@ def mobile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "else 'late_payment' end as status",
         "o_orderdate as order_ts",
     ).join(customers(spark, sf_dir), "c_custkey")
-    payment = "bround(order_amount / installments, 2) as installment_amount"
-    return conform(rows.selectExpr("*", payment), MOBILE)
+    return conform(rows.selectExpr("*", f"{INSTALLMENT_AMOUNT} as installment_amount"), MOBILE)
 
 
 def partner_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,10 +94,7 @@ def partner_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
             "date(l_shipdate) as originated_date",
         )
     )
-    payment = (
-        "bround(principal_amount * (1 + apr_pct / 100) / term_months, 2) as monthly_payment"
-    )
-    return conform(rows.selectExpr("*", payment), PARTNER)
+    return conform(rows.selectExpr("*", f"{MONTHLY_PAYMENT} as monthly_payment"), PARTNER)
 
 
 def web_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
