@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
-from tessera.llm import mixing, sql, token_counts, url_filters
+from tessera.llm import mixing, sql, suffix_dedup, token_counts, url_filters
 from tessera.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,11 +33,25 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate(
+        F.arrays_zip("begins", "ends"), F.lit(0).cast("long"),
+        lambda total, span: total + span["ends"] - span["begins"],
+    )
+    return cleaned.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"),
+        F.size("begins").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_token_counts": op2_token_counts,
         "op6_mix_sources": op6_mix_sources,
+        "op9_suffix_dedup": op9_suffix_dedup,
     }
 
 
