@@ -9,6 +9,7 @@ are merged before the shuffle and no key can collect more than one entry per blo
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 import uuid
 
@@ -18,6 +19,16 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it. A cluster whose machines
+    do not share that folder gets the package by ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,8 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, sql, suffix_dedup, token_counts, url_filters
-from tessera.llm.common import read_table
+from tessera.llm import (
+    decontamination,
+    mixing,
+    sql,
+    suffix_dedup,
+    token_counts,
+    url_filters,
+    warc,
+)
+from tessera.llm.common import read_table, workers_find_package
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = tuple(url_filters.Rule(*rule) for rule in sql.URL_RULES)
@@ -28,11 +36,29 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), path, limit=512)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(read_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+    return warc.read_archives(manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=100)
     removed = F.aggregate(
@@ -46,14 +72,33 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _with_package(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers_find_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def queries() -> dict[str, Query]:
+    found = {
         "op1_url_filter": op1_url_filter,
         "op2_token_counts": op2_token_counts,
+        "op3_decontamination": op3_decontamination,
         "op6_mix_sources": op6_mix_sources,
+        "op8_warc": op8_warc,
         "op9_suffix_dedup": op9_suffix_dedup,
     }
+    return {name: _with_package(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": sql.url_filter(), "op6_mix_sources": sql.mix_sources()}
+    return {
+        "op1_url_filter": sql.url_filter(),
+        "op3_decontamination": sql.decontamination(),
+        "op6_mix_sources": sql.mix_sources(),
+        "op8_warc": sql.warc(),
+    }

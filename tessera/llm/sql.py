@@ -100,3 +100,65 @@ WITH sized AS (
 )
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM copied
 """
+
+
+def decontamination(window: int = 10) -> str:
+    """Windows as joined words; words beyond ASCII need no case change."""
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), "
+        f"'{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    )
+    return f"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, {words} AS words FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least({window}, len(words)) AS size,
+         unnest(list_transform(range(1, len(words) - least({window}, len(words)) + 2),
+           lambda i: array_to_string(words[i:i + least({window}, len(words)) - 1], ' ')))
+           AS passage
+  FROM items WHERE len(words) > 0
+), docs AS (
+  SELECT row_number() OVER () AS row, doc_id, {words} AS words FROM documents
+), sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT row, size, unnest(range(1, CAST(len(words) AS BIGINT) - size + 2)) AS place, words
+  FROM docs CROSS JOIN sizes WHERE len(words) >= size
+), found AS (
+  SELECT row, place, p.size, item_id
+  FROM (SELECT row, place, size, array_to_string(words[place:place + size - 1], ' ') AS passage
+        FROM places) p
+  JOIN windows w ON p.size = w.size AND p.passage = w.passage
+), hits AS (
+  SELECT row, count(DISTINCT place + step) AS n_hit
+  FROM (SELECT DISTINCT row, place, size FROM found), range(0, {window}) r(step)
+  WHERE step < size GROUP BY row
+), listed AS (
+  SELECT row, count(DISTINCT item_id) AS n_items,
+         string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT row, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY row
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (row) LEFT JOIN listed USING (row)
+"""
+
+
+def warc() -> str:
+    """Base32: five hexadecimal digits are four letters."""
+    value = "CAST(('0x' || substr(sha1, 5 * (i // 4) + 1, 5)) AS BIGINT)"
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    return f"""
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha1 FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM hashed
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('{alphabet}',
+         CAST((({value} >> (15 - 5 * (i % 4))) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM coalesce(first_id, page_id) THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM coalesce(first_id, page_id) THEN first_id END AS refers_to
+FROM firsts
+"""
