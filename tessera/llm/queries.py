@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import (
     decontamination,
+    minhash_dedup,
     mixing,
     sql,
     suffix_dedup,
@@ -47,6 +48,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -88,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op1_url_filter": op1_url_filter,
         "op2_token_counts": op2_token_counts,
         "op3_decontamination": op3_decontamination,
+        "op4_minhash_dedup": op4_minhash_dedup,
         "op6_mix_sources": op6_mix_sources,
         "op8_warc": op8_warc,
         "op9_suffix_dedup": op9_suffix_dedup,
@@ -99,6 +105,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": sql.url_filter(),
         "op3_decontamination": sql.decontamination(),
+        "op4_minhash_dedup": op4_minhash_dedup,
         "op6_mix_sources": sql.mix_sources(),
         "op8_warc": sql.warc(),
     }
