@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm import (
     decontamination,
+    embedding_dedup,
+    language_id,
     minhash_dedup,
     mixing,
     sql,
@@ -52,11 +54,21 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.similar_vectors(read_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = language_id.held_out(F.col("doc_id"), 4, 2)
+    judged = language_id.identify_languages(read_table(spark, sf_dir, "documents"), ~held_out)
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(read_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
     return warc.read_archives(manifest).select(
@@ -94,7 +106,9 @@ def queries() -> dict[str, Query]:
         "op2_token_counts": op2_token_counts,
         "op3_decontamination": op3_decontamination,
         "op4_minhash_dedup": op4_minhash_dedup,
+        "op5_embedding_dedup": op5_embedding_dedup,
         "op6_mix_sources": op6_mix_sources,
+        "op7_language_id": op7_language_id,
         "op8_warc": op8_warc,
         "op9_suffix_dedup": op9_suffix_dedup,
     }
@@ -106,6 +120,8 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_filter": sql.url_filter(),
         "op3_decontamination": sql.decontamination(),
         "op4_minhash_dedup": op4_minhash_dedup,
+        "op5_embedding_dedup": op5_embedding_dedup,
+        "op5_embedding_dedup": sql.embedding_dedup(),
         "op6_mix_sources": sql.mix_sources(),
         "op8_warc": sql.warc(),
     }

@@ -162,3 +162,25 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id IS DISTINCT FROM coalesce(first_id, page_id) THEN first_id END AS refers_to
 FROM firsts
 """
+
+
+def embedding_dedup(cosine: float = 0.98) -> str:
+    return f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {cosine}
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT vec_id, b FROM reached JOIN links ON other = a
+), groups AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT vec_id, CAST((SELECT count(*) FROM links WHERE a = vec_id) AS BIGINT) AS n_links,
+       component_id, vec_id = component_id AS kept
+FROM groups
+"""
