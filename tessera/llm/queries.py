@@ -13,6 +13,7 @@ from tessera.llm import (
     decontamination,
     embedding_dedup,
     language_id,
+    lm_scoring,
     minhash_dedup,
     mixing,
     sql,
@@ -89,6 +90,15 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = language_id.held_out(F.col("doc_id"), 5, 1)
+    scored = lm_scoring.score_texts(read_table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -112,6 +122,7 @@ def queries() -> dict[str, Query]:
         "op8_warc": op8_warc,
         "op9_suffix_dedup": op9_suffix_dedup,
     }
+    found["op10_lm_scoring"] = op10_lm_scoring
     return {name: _with_package(query) for name, query in found.items()}
 
 
