@@ -4,8 +4,9 @@ The model is a trie of byte contexts up to ``ORDER`` bytes long, with the counts
 that follow them in the training documents, A-Z lower-cased, and of the end of the text. A symbol
 is predicted in the longest context that was seen; if it did not follow there, an escape is
 coded and the next shorter context is asked. A context with n symbols, d of them different,
-escapes with d / (n + d). Symbols of longer contexts are excluded from shorter ones. Below the
-empty context all remaining symbols are equally likely. The score is the base-10 logarithm of the
+escapes with d / 2n and codes one that followed c times with (2c - 1) / 2n. Symbols of longer
+contexts are excluded from shorter ones. Below the empty context all remaining symbols are
+equally likely. The score is the base-10 logarithm of the
 probability of the whole text and its end.
 
 The base is a word model: words at ASCII white space, one end per text, counts plus one half.
@@ -15,7 +16,7 @@ The trie is spread over the cluster. Blocks of documents send their distinct wor
 distinct grams of all go to the part of the last two bytes of their context, which has the
 whole trie under it: contexts of one byte and of none are a table of at most 257 x 257 counts
 that every task has. Each distinct gram is coded once, and its code length goes back to the
-blocks that have it, which add up their documents.
+blocks that have it, in 32 bits, which add up their documents in 64.
 
 Null texts are empty: one token, the end. Rows that may not be learned from are scored like the
 others. Without training documents all symbols are equally likely and no token is known.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import block_count, shuffle_partitions, stored
 from tessera.llm.hashing import mix
 
-ORDER = 4
+ORDER = 5
 EDGE = 256  # the end as a symbol, the time before the text as a context
 SYMBOLS = 257
 BITS = 9
@@ -279,8 +280,8 @@ def code_lengths(
         left, fresh = total - excluded_mass, kind - excluded_kinds
         ask = open_ & seen
         coded, escaped = ask & (count > 0), ask & (count <= 0) & (fresh > 0)
-        room = np.log10(left + fresh, out=np.zeros(len(grams)), where=left + fresh > 0)
-        length[coded] += np.log10(count[coded]) - room[coded]
+        room = np.log10(2 * left, out=np.zeros(len(grams)), where=left > 0)
+        length[coded] += np.log10(2 * count[coded] - 1) - room[coded]
         length[escaped] += np.log10(fresh[escaped]) - room[escaped]
         open_ &= ~coded
         excluded_mass, excluded_kinds = np.where(seen, mass, 0), np.where(seen, kind, 0)
@@ -297,7 +298,7 @@ def _coded(pairs: np.ndarray, order: int):
         grams, counts = merged(own, _arrays(table, "gram_counts"))
         lengths = code_lengths(grams, counts, pairs, order)
         return _packed(LENGTHS, [
-            (origin, g.tobytes(), lengths[np.searchsorted(grams, g)].tobytes())
+            (origin, g.tobytes(), _binary(lengths[np.searchsorted(grams, g)], np.float32))
             for origin, g in zip(origins, own, strict=True)
         ])
 
@@ -312,7 +313,7 @@ def _values(features: pa.Table, lengths: pa.Table) -> pa.Table:
     words = _arrays(features, "words", np.uint64)
     keys, totals = merged(words, _arrays(features, "word_counts"))
     grams = np.concatenate([np.empty(0, np.int64), *_arrays(lengths, "grams")])
-    values = np.concatenate([np.empty(0), *_arrays(lengths, "lengths", np.float64)])
+    values = np.concatenate([np.empty(0, np.float32), *_arrays(lengths, "lengths", np.float32)])
     sorting = np.argsort(grams)
     grams, values = grams[sorting], values[sorting]
     rows = []
@@ -350,7 +351,7 @@ def _scores(order: int, parts: int, train_tokens: int, distinct: int):
         words, grams = _word_part(block.words, parts), _gram_part(block.grams, parts)
         for row in values.to_pylist():
             totals[words == row["part"]] = np.frombuffer(row["word_totals"], np.int64)
-            lengths[grams == row["part"]] = np.frombuffer(row["lengths"], np.float64)
+            lengths[grams == row["part"]] = np.frombuffer(row["lengths"], np.float32)
         # Logarithms are taken once per count, so that equal counts give equal terms.
         terms = np.log10(totals + 0.5)
         places: dict[bytes, int] = {}

@@ -84,7 +84,7 @@ def source_targets(
     )
 
 
-def mix_sources(
+def _counted(
     df: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
     share: float = 1.0,
@@ -95,14 +95,11 @@ def mix_sources(
     source_col: str = "source",
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) for every row, with the
-    columns of ``carry`` behind them; ``copies`` says how often the mix has the document.
-    ``most`` must be whole for the bound on copies to hold exactly."""
-    text_size = word_count(F.col(text_col).cast("string"))
+    """Every row with its copies; column i of ``carry`` is called ``carried_<i>``."""
     rows = df.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
-        text_size.alias("size"),
+        word_count(F.col(text_col).cast("string")).alias("size"),
         *(F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)),
     )
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
@@ -140,20 +137,26 @@ def mix_sources(
     copies = F.floor(last * F.col("rate") + F.col("offset")) - F.floor(
         (last - 1) * F.col("rate") + F.col("offset")
     )
-    return numbered.withColumn("copies", copies.cast("long")).select(
+    return numbered.withColumn("copies", copies.cast("long"))
+
+
+def mix_sources(df: DataFrame, **options) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken) for every row: ``copies`` is
+    how often the mix has the document, ``taken`` the words it takes of it. Options are those
+    of `source_targets`, ``seed`` and the names of columns; ``most`` must be whole for the
+    bound on copies to hold exactly."""
+    return _counted(df, **options).select(
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
-        *(F.col(f"carried_{i}").alias(c) for i, c in enumerate(carry)),
     )
 
 
 def mixed(df: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``df``, each as often as it is taken."""
-    carry = tuple(df.columns)
-    taken = mix_sources(df, carry=carry, **options) if "carry" not in options else None
-    names = [f"carried_{i}" for i in range(len(carry))]
-    flat = taken.toDF("_id", "_source", "_size", "_source_size", "_target", "_copies", "_taken",
-                      *names)
-    return flat.filter("_copies > 0").select(
-        *names, F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    ).select(*(F.col(n).alias(c) for n, c in zip(names, carry, strict=True)))
+    """The mix itself: the rows of ``df``, each as often as it is taken, and ``copy``, the
+    number of the copy from 1 on."""
+    columns = tuple(c for c in df.columns if c != "copy")
+    counted = _counted(df, carry=columns, **options).filter("copies > 0")
+    return counted.select(
+        *(F.col(f"carried_{i}").alias(c) for i, c in enumerate(columns)),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
+    )
