@@ -9,52 +9,65 @@ from __future__ import annotations
 VIEWS = {
     "mobile": """
 SELECT 'MOB-' || cast(o_orderkey as varchar(20)) AS order_id,
-  'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') AS customer_id,
-  lower(replace(c_name, '#', '.')) || '@example.com' AS email,
-  split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
+  CASE WHEN o_orderkey % 89 = 0 THEN 'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') || '7'
+    ELSE 'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') END AS customer_id,
+  CASE WHEN o_orderkey % 97 = 0 THEN NULL
+    WHEN o_orderkey % 101 = 0 THEN upper(replace(c_name, '#', '.') || '@example.com')
+    ELSE lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
+  split_part(c_name, '#', 1) AS first_name,
+  CASE WHEN o_orderkey % 83 <> 0 THEN split_part(c_name, '#', 2) END AS last_name,
   CASE WHEN o_orderkey % 2 = 0 THEN 'iOS' ELSE 'Android' END AS device_platform,
   CASE o_orderkey % 4 WHEN 0 THEN '6.4.1' WHEN 1 THEN '6.5.0' WHEN 2 THEN '6.6.2'
     ELSE '7.0.0' END AS app_version,
   substr(o_orderpriority, 3) AS merchant_category,
   CASE o_orderkey % 3 WHEN 0 THEN 'pay_in_4' WHEN 1 THEN '6mo_installments'
     ELSE '12mo_installments' END AS bnpl_plan,
-  cast(CASE o_orderkey % 3 WHEN 0 THEN 4 WHEN 1 THEN 6 ELSE 12 END as int) AS installments,
+  cast(CASE WHEN o_orderkey % 50 = 7 THEN 0 WHEN o_orderkey % 3 = 0 THEN 4
+    WHEN o_orderkey % 3 = 1 THEN 6 ELSE 12 END as int) AS installments,
   cast(o_totalprice as decimal(10,2)) AS order_amount,
   CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'active'
     ELSE 'late_payment' END AS status,
-  o_orderdate AS order_ts
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 3 <> 0""",
+  o_orderdate AS order_ts, o_orderkey % 60 = 11 AS stored_wrong
+FROM orders JOIN customer ON o_custkey = c_custkey""",
     "partner": """
 SELECT 'PRT-' || cast(l_orderkey as varchar(20)) || '-' || cast(l_linenumber as varchar(20))
     AS loan_id,
-  'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') AS customer_id,
-  lower(replace(c_name, '#', '.')) || '@example.com' AS email,
-  split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
+  CASE WHEN (l_orderkey * 8 + l_linenumber) % 89 = 0 THEN 'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') || '7'
+    ELSE 'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') END AS customer_id,
+  CASE WHEN (l_orderkey * 8 + l_linenumber) % 97 = 0 THEN NULL
+    WHEN (l_orderkey * 8 + l_linenumber) % 101 = 0 THEN upper(replace(c_name, '#', '.') || '@example.com')
+    ELSE lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
+  split_part(c_name, '#', 1) AS first_name,
+  CASE WHEN (l_orderkey * 8 + l_linenumber) % 83 <> 0 THEN split_part(c_name, '#', 2) END AS last_name,
   s_name AS partner_name, n_name AS partner_segment,
   CASE l_linenumber % 3 WHEN 0 THEN 'widget' WHEN 1 THEN 'redirect'
     ELSE 'headless_api' END AS integration_type,
   cast(l_extendedprice as decimal(10,2)) AS principal_amount,
   cast(l_discount * 100 as decimal(5,2)) AS apr_pct,
-  cast(CASE WHEN l_linenumber <= 2 THEN 3 WHEN l_linenumber <= 4 THEN 6 ELSE 12 END as int)
+  cast(CASE WHEN l_orderkey % 70 = 4 THEN 0 WHEN l_linenumber <= 2 THEN 3
+    WHEN l_linenumber <= 4 THEN 6 ELSE 12 END as int)
     AS term_months,
   CASE l_returnflag WHEN 'A' THEN 'approved' WHEN 'N' THEN 'manual_review'
     ELSE 'declined' END AS approval_status,
   cast(l_shipdate as date) AS originated_date
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-WHERE c_custkey % 4 = 1""",
+  JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""",
     "web": """
 SELECT 'WEB-' || cast(event_id as varchar(20)) AS application_id,
-  'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') AS customer_id,
-  lower(replace(c_name, '#', '.')) || '@example.com' AS email,
-  split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
+  CASE WHEN event_id % 89 = 0 THEN 'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') || '7'
+    ELSE 'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') END AS customer_id,
+  CASE WHEN event_id % 97 = 0 THEN NULL
+    WHEN event_id % 101 = 0 THEN upper(replace(c_name, '#', '.') || '@example.com')
+    ELSE lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
+  split_part(c_name, '#', 1) AS first_name,
+  CASE WHEN event_id % 83 <> 0 THEN split_part(c_name, '#', 2) END AS last_name,
   CASE event_id % 6 WHEN 0 THEN 'google_ads' WHEN 1 THEN 'meta_ads' WHEN 2 THEN 'tiktok'
     WHEN 3 THEN 'organic' WHEN 4 THEN 'email' ELSE 'referral' END AS utm_source,
   CASE event_id % 4 WHEN 0 THEN 'medical' WHEN 1 THEN 'education' WHEN 2 THEN 'travel'
     ELSE 'wedding' END AS loan_purpose,
   cast(cast(value as decimal(10,2)) * 100 as decimal(12,2)) AS requested_amount,
-  cast(CASE WHEN event_type IN ('signup','purchase','click')
-    THEN cast(value as decimal(10,2)) * 80 ELSE 0 END as decimal(12,2)) AS funded_amount,
+  cast(CASE WHEN event_id % 40 = 9 THEN cast(value as decimal(10,2)) * 50
+    WHEN event_type IN ('signup','purchase','click') THEN cast(value as decimal(10,2)) * 80 ELSE 0 END as decimal(12,2)) AS funded_amount,
   cast(540 + event_id % 281 as int) AS credit_score,
   CASE event_id % 2 WHEN 0 THEN 'full_time' ELSE 'contractor' END AS employment_status,
   cast(18000 + event_id % 162000 as decimal(12,2)) AS annual_income,
@@ -64,33 +77,40 @@ SELECT 'WEB-' || cast(event_id as varchar(20)) AS application_id,
 FROM events JOIN customer ON user_id = c_custkey""",
     "card": """
 SELECT 'CARD-' || cast(c_custkey as varchar(20)) AS account_id,
-  'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') AS customer_id,
-  lower(replace(c_name, '#', '.')) || '@example.com' AS email,
-  split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
+  CASE WHEN c_custkey % 89 = 0 THEN 'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') || '7'
+    ELSE 'CUST' || lpad(cast(c_custkey as varchar(20)), 9, '0') END AS customer_id,
+  CASE WHEN c_custkey % 97 = 0 THEN NULL
+    WHEN c_custkey % 101 = 0 THEN upper(replace(c_name, '#', '.') || '@example.com')
+    ELSE lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
+  split_part(c_name, '#', 1) AS first_name,
+  CASE WHEN c_custkey % 83 <> 0 THEN split_part(c_name, '#', 2) END AS last_name,
   c_mktsegment AS card_partner, cast(10000 as decimal(12,2)) AS credit_limit,
   cast(c_acctbal as decimal(12,2)) AS current_balance,
-  cast((q + CASE WHEN r > 50 OR (r = 50 AND q % 2 = 1) THEN 1 ELSE 0 END)
+  cast((q + CASE WHEN r > 50 OR (r = 50 AND q % 2 <> 0) THEN 1
+      WHEN r < -50 OR (r = -50 AND q % 2 <> 0) THEN -1 ELSE 0 END
+    + CASE WHEN c_custkey % 7 = 0 THEN 3000 ELSE 0 END)
     * cast(0.01 as decimal(3,2)) as decimal(5,2)) AS utilization_pct,
   CASE c_nationkey % 4 WHEN 0 THEN 'standard' WHEN 1 THEN 'silver' WHEN 2 THEN 'gold'
     ELSE 'platinum' END AS rewards_tier,
   CASE c_custkey % 4 WHEN 0 THEN 'pays_full' WHEN 1 THEN 'pays_minimum' WHEN 2 THEN 'revolves'
     ELSE 'behind' END AS payment_behavior,
-  cast(CASE WHEN c_custkey % 4 = 3 THEN 30 * (1 + c_custkey % 3) ELSE 0 END as int)
+  cast(CASE WHEN c_custkey % 28 = 3 THEN 45 WHEN c_custkey % 20 = 1 THEN 15
+    WHEN c_custkey % 4 = 3 THEN 30 * (1 + c_custkey % 3) ELSE 0 END as int)
     AS delinquency_days,
   CASE WHEN c_custkey % 6 < 4 THEN 'active' WHEN c_custkey % 6 = 4 THEN 'frozen'
     ELSE 'closed' END AS account_status,
   cast('2024-06-01' as date) AS account_opened
 FROM (SELECT *, cast((w - w % 100) / 100 as int) AS q, cast(w % 100 as int) AS r
-      FROM (SELECT *, cast(round(c_acctbal * 100) as int) AS w FROM customer) a) b
-WHERE c_custkey % 5 < 2 AND c_acctbal >= 0""",
+      FROM (SELECT *, cast(round(c_acctbal * 100) as int) AS w FROM customer) a) b""",
     "union_ids": """
 SELECT customer_id, email, first_name, last_name FROM mobile
 UNION SELECT customer_id, email, first_name, last_name FROM partner
 UNION SELECT customer_id, email, first_name, last_name FROM web
 UNION SELECT customer_id, email, first_name, last_name FROM card""",
     "ids": """
-SELECT email, min(customer_id) AS customer_id, min(first_name) AS first_name,
-  min(last_name) AS last_name FROM union_ids GROUP BY email""",
+SELECT customer_id, email, first_name, last_name FROM union_ids
+QUALIFY row_number() OVER (PARTITION BY email ORDER BY customer_id NULLS FIRST,
+  first_name NULLS FIRST, last_name NULLS FIRST) = 1""",
     "m": "SELECT email, count(*) AS n, sum(order_amount) AS s FROM mobile GROUP BY email",
     "p": "SELECT email, count(*) AS n, sum(principal_amount) AS s FROM partner GROUP BY email",
     "w": """
@@ -99,28 +119,41 @@ FROM web GROUP BY email""",
     "c": """
 SELECT email, count(*) AS n, sum(credit_limit) AS l, sum(current_balance) AS s,
   max(delinquency_days) AS x FROM card GROUP BY email""",
+    "stacked": """
+SELECT email, 'mobile_app' AS channel, order_amount AS amount, NULL AS other, NULL AS top
+FROM mobile
+UNION ALL SELECT email, 'partner_checkout', principal_amount, NULL, NULL FROM partner
+UNION ALL SELECT email, 'web_portal', funded_amount, NULL, credit_score FROM web
+UNION ALL SELECT email, 'cobranded_card', current_balance, credit_limit, delinquency_days
+FROM card""",
+    "totals": """
+SELECT email,
+  count(*) FILTER (channel = 'mobile_app') AS mobile_app_order_count,
+  coalesce(sum(amount) FILTER (channel = 'mobile_app'), 0) AS mobile_app_total_spend,
+  count(*) FILTER (channel = 'partner_checkout') AS partner_loan_count,
+  coalesce(sum(amount) FILTER (channel = 'partner_checkout'), 0) AS partner_total_principal,
+  count(*) FILTER (channel = 'web_portal') AS web_application_count,
+  coalesce(sum(amount) FILTER (channel = 'web_portal'), 0) AS web_total_funded,
+  coalesce(max(top) FILTER (channel = 'web_portal'), 0) AS web_max_credit_score,
+  count(*) FILTER (channel = 'cobranded_card') AS card_account_count,
+  coalesce(sum(other) FILTER (channel = 'cobranded_card'), 0) AS card_total_credit_limit,
+  coalesce(sum(amount) FILTER (channel = 'cobranded_card'), 0) AS card_total_balance,
+  coalesce(max(top) FILTER (channel = 'cobranded_card'), 0) AS card_max_delinquency_days,
+  list_filter(['mobile_app', 'partner_checkout', 'web_portal', 'cobranded_card'],
+    lambda c: list_contains(list(DISTINCT channel), c)) AS used
+FROM stacked WHERE email IS NOT NULL GROUP BY email""",
     "profile": """
-SELECT ids.email, customer_id, first_name, last_name,
-  coalesce(m.n, 0) AS mobile_app_order_count, coalesce(m.s, 0) AS mobile_app_total_spend,
-  coalesce(p.n, 0) AS partner_loan_count, coalesce(p.s, 0) AS partner_total_principal,
-  coalesce(w.n, 0) AS web_application_count, coalesce(w.s, 0) AS web_total_funded,
-  coalesce(w.x, 0) AS web_max_credit_score, coalesce(c.n, 0) AS card_account_count,
-  coalesce(c.l, 0) AS card_total_credit_limit, coalesce(c.s, 0) AS card_total_balance,
-  coalesce(c.x, 0) AS card_max_delinquency_days,
-  concat_ws(',', CASE WHEN m.email IS NOT NULL THEN 'mobile_app' END,
-    CASE WHEN p.email IS NOT NULL THEN 'partner_checkout' END,
-    CASE WHEN w.email IS NOT NULL THEN 'web_portal' END,
-    CASE WHEN c.email IS NOT NULL THEN 'cobranded_card' END) AS channels_used,
-  CASE WHEN m.email IS NOT NULL THEN 1 ELSE 0 END
-    + CASE WHEN p.email IS NOT NULL THEN 1 ELSE 0 END
-    + CASE WHEN w.email IS NOT NULL THEN 1 ELSE 0 END
-    + CASE WHEN c.email IS NOT NULL THEN 1 ELSE 0 END AS channel_count
-FROM ids LEFT JOIN m ON ids.email = m.email LEFT JOIN p ON ids.email = p.email
-  LEFT JOIN w ON ids.email = w.email LEFT JOIN c ON ids.email = c.email""",
+SELECT email, customer_id, first_name, last_name, t.* EXCLUDE (email, used),
+  array_to_string(used, ',') AS channels_used, cast(len(used) as int) AS channel_count
+FROM ids JOIN totals t USING (email)
+UNION ALL SELECT email, customer_id, first_name, last_name, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0,
+  '', 0 FROM ids WHERE email IS NULL""",
     "member": """
 SELECT email, channel FROM profile, unnest(string_split(channels_used, ',')) AS u(channel)
 WHERE channels_used <> ''""",
-    "wanted": "SELECT upper(replace(c_name, '#', '.') || '@example.com') AS email FROM customer",
+    "wanted": """
+SELECT upper(replace(c_name, '#', '.') || CASE WHEN c_custkey % 3 = 0 THEN '@other.com'
+  ELSE '@example.com' END) AS email FROM customer""",
 }
 
 NEEDS = {
@@ -130,7 +163,9 @@ NEEDS = {
     "p": ("partner",),
     "w": ("web",),
     "c": ("card",),
-    "profile": ("ids", "m", "p", "w", "c"),
+    "stacked": ("mobile", "partner", "web", "card"),
+    "totals": ("stacked",),
+    "profile": ("ids", "totals"),
     "member": ("profile",),
 }
 
@@ -209,39 +244,47 @@ FLAT = """customer_id, email, first_name, last_name, mobile_app_order_count,
 SUMMARY = """customer_id, email, first_name, last_name, channel_count, channels_used,
   mobile_app_order_count, partner_loan_count, web_application_count, card_account_count"""
 
-STATS = """SELECT count(*) AS total_customers,
-  cast(sum(CASE WHEN channel_count > 1 THEN 1 ELSE 0 END) as bigint) AS multi_channel_customers,
-  cast(sum(mobile_app_order_count) as bigint) AS total_mobile_orders,
-  cast(sum(partner_loan_count) as bigint) AS total_partner_loans,
-  cast(sum(web_application_count) as bigint) AS total_web_applications,
-  cast(sum(card_account_count) as bigint) AS total_card_accounts,
-  sum(mobile_app_total_spend) AS total_mobile_spend,
-  sum(partner_total_principal) AS total_partner_principal,
-  sum(web_total_funded) AS total_web_funded, sum(card_total_balance) AS total_card_balance
-FROM profile"""
+STATS = """SELECT count(DISTINCT email) + count(DISTINCT 1) FILTER (email IS NULL)
+    AS total_customers,
+  count(DISTINCT email) FILTER (several) AS multi_channel_customers,
+  count(*) FILTER (channel = 'mobile_app' AND email IS NOT NULL) AS total_mobile_orders,
+  count(*) FILTER (channel = 'partner_checkout' AND email IS NOT NULL) AS total_partner_loans,
+  count(*) FILTER (channel = 'web_portal' AND email IS NOT NULL) AS total_web_applications,
+  count(*) FILTER (channel = 'cobranded_card' AND email IS NOT NULL) AS total_card_accounts,
+  sum(amount) FILTER (channel = 'mobile_app' AND email IS NOT NULL) AS total_mobile_spend,
+  sum(amount) FILTER (channel = 'partner_checkout' AND email IS NOT NULL)
+    AS total_partner_principal,
+  sum(amount) FILTER (channel = 'web_portal' AND email IS NOT NULL) AS total_web_funded,
+  sum(amount) FILTER (channel = 'cobranded_card' AND email IS NOT NULL) AS total_card_balance
+FROM (SELECT *, min(channel) OVER same <> max(channel) OVER same AS several
+      FROM stacked WINDOW same AS (PARTITION BY email))"""
 
 MOBILE_VIEW = f"""SELECT email, order_id, merchant_category, bnpl_plan,
   {_money("order_amount")} AS amount_text, status, {_severity("status")} AS status_severity,
   strftime(order_ts, '%Y-%m-%d') AS date_text,
-  strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts FROM mobile"""
+  strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts FROM mobile
+  WHERE email IS NOT NULL"""
 
 PARTNER_VIEW = f"""SELECT email, loan_id, partner_name,
   {_money("principal_amount")} AS principal_text, {_percent("apr_pct")} AS apr_text,
   cast(term_months as varchar) || 'mo' AS term_text, approval_status,
   {_severity("approval_status")} AS status_severity,
-  strftime(originated_date, '%Y-%m-%d') AS date_text FROM partner"""
+  strftime(originated_date, '%Y-%m-%d') AS date_text FROM partner
+  WHERE email IS NOT NULL"""
 
 WEB_VIEW = f"""SELECT email, application_id, utm_source, loan_purpose,
   {_money("requested_amount")} AS requested_text, {_money("funded_amount")} AS funded_text,
   credit_score, kyc_status, {_severity("kyc_status")} AS status_severity,
-  strftime(applied_date, '%Y-%m-%d') AS date_text FROM web"""
+  strftime(applied_date, '%Y-%m-%d') AS date_text FROM web
+  WHERE email IS NOT NULL"""
 
 CARD_VIEW = f"""SELECT email, account_id, card_partner, {_money("credit_limit")} AS limit_text,
   {_money("current_balance")} AS balance_text,
   {_percent("utilization_pct")} AS utilization_text, rewards_tier, payment_behavior,
   {_severity("payment_behavior")} AS behavior_severity, account_status,
   {_severity("account_status")} AS status_severity,
-  strftime(account_opened, '%Y-%m-%d') AS date_text FROM card"""
+  strftime(account_opened, '%Y-%m-%d') AS date_text FROM card
+  WHERE email IS NOT NULL"""
 
 _STATUSES = (
     ("mobile_app", "mobile", "status"),
@@ -251,18 +294,28 @@ _STATUSES = (
     ("cobranded_card", "card", "account_status"),
 )
 
+# The columns of each channel.
 _COLUMNS = {
-    "mobile": "order_id customer_id email first_name last_name device_platform app_version "
-    "merchant_category bnpl_plan installments order_amount installment_amount status order_ts",
-    "partner": "loan_id customer_id email first_name last_name partner_name partner_segment "
-    "integration_type principal_amount apr_pct term_months monthly_payment approval_status "
-    "originated_date",
-    "web": "application_id customer_id email first_name last_name utm_source loan_purpose "
-    "requested_amount funded_amount credit_score employment_status annual_income kyc_status "
-    "applied_date",
-    "card": "account_id customer_id email first_name last_name card_partner credit_limit "
-    "current_balance utilization_pct rewards_tier payment_behavior delinquency_days "
-    "account_status account_opened",
+    "mobile": (
+        "order_id", "customer_id", "email", "first_name", "last_name", "device_platform",
+        "app_version", "merchant_category", "bnpl_plan", "installments", "order_amount",
+        "installment_amount", "status", "order_ts",
+    ),
+    "partner": (
+        "loan_id", "customer_id", "email", "first_name", "last_name", "partner_name",
+        "partner_segment", "integration_type", "principal_amount", "apr_pct",
+        "term_months", "monthly_payment", "approval_status", "originated_date",
+    ),
+    "web": (
+        "application_id", "customer_id", "email", "first_name", "last_name", "utm_source",
+        "loan_purpose", "requested_amount", "funded_amount", "credit_score",
+        "employment_status", "annual_income", "kyc_status", "applied_date",
+    ),
+    "card": (
+        "account_id", "customer_id", "email", "first_name", "last_name", "card_partner",
+        "credit_limit", "current_balance", "utilization_pct", "rewards_tier",
+        "payment_behavior", "delinquency_days", "account_status", "account_opened",
+    ),
 }
 _CHANNEL = {
     "mobile": "mobile_app",
@@ -271,42 +324,55 @@ _CHANNEL = {
     "card": "cobranded_card",
 }
 # Derived columns the views leave out, by the column they are null with.
-_DERIVED = {"installment_amount": "order_amount", "monthly_payment": "principal_amount"}
+_DERIVED = {
+    "installment_amount": "(CASE WHEN installments <> 0 OR stored_wrong THEN 1 END)",
+    "monthly_payment": "nullif(term_months, 0)",
+}
 
 
-def _in(column: str, words: str) -> str:
-    quoted = ", ".join(f"'{w}'" for w in words.split("|"))
+def _in(column: str, *words: str) -> str:
+    quoted = ", ".join(f"'{w}'" for w in words)
     return f"{column} NOT IN ({quoted})"
 
 
+# The accepted words.
 _ACCEPTED = "\nUNION ALL ".join((
     _rules("mobile_app", "mobile", {
-        "device_platform": _in("device_platform", "iOS|Android"),
-        "app_version": _in("app_version", "6.4.1|6.5.0|6.6.2|7.0.0"),
-        "merchant_category": _in(
-            "merchant_category", "Electronics|Apparel|Home Goods|Beauty|Sports|Travel"),
-        "bnpl_plan": _in("bnpl_plan", "pay_in_4|6mo_installments|12mo_installments"),
-        "status": _in("status", "completed|active|late_payment"),
+        "device_platform": _in("device_platform", "iOS", "Android"),
+        "app_version": _in("app_version", "6.4.1", "6.5.0", "6.6.2", "7.0.0"),
+        "merchant_category": _in("merchant_category", "Electronics", "Apparel", "Home Goods",
+                                 "Beauty", "Sports", "Travel"),
+        "bnpl_plan": _in("bnpl_plan", "pay_in_4", "6mo_installments", "12mo_installments"),
+        "status": _in("status", "completed", "active", "late_payment"),
     }),
     _rules("partner_checkout", "partner", {
-        "integration_type": _in("integration_type", "widget|redirect|headless_api"),
+        "integration_type": _in("integration_type", "widget", "redirect", "headless_api"),
         "term_months": "term_months NOT IN (3, 6, 9, 12, 18, 24)",
-        "approval_status": _in("approval_status", "approved|manual_review|declined"),
+        "approval_status": _in("approval_status", "approved", "manual_review", "declined"),
+        "partner_and_segment": """(partner_name, partner_segment) NOT IN (
+  ('MercadoBuy', 'marketplace'), ('ElektroMart', 'electronics'), ('ModaPlus', 'fashion'),
+  ('HogarTotal', 'home'), ('ViajaYa', 'travel'), ('DeporteMax', 'sports'),
+  ('FarmaPlus', 'pharmacy'))""",
     }),
     _rules("web_portal", "web", {
-        "utm_source": _in("utm_source", "google_ads|meta_ads|tiktok|organic|email|referral"),
-        "loan_purpose": _in(
-            "loan_purpose", "debt_consolidation|home_improvement|auto_repair|medical|education"
-            "|wedding|travel|small_business"),
-        "kyc_status": _in("kyc_status", "passed|manual_review|failed"),
-        "employment_status": _in(
-            "employment_status", "full_time|self_employed|part_time|contractor|unemployed"),
+        "utm_source": _in("utm_source", "google_ads", "meta_ads", "tiktok", "organic", "email",
+                          "referral"),
+        "loan_purpose": _in("loan_purpose", "debt_consolidation", "home_improvement",
+                            "auto_repair", "medical", "education", "wedding", "travel",
+                            "small_business"),
+        "kyc_status": _in("kyc_status", "passed", "manual_review", "failed"),
+        "employment_status": _in("employment_status", "full_time", "self_employed", "part_time",
+                                 "contractor", "unemployed"),
     }),
     _rules("cobranded_card", "card", {
+        "card_partner": _in(
+            "card_partner", "PayLater + MercadoBuy Visa", "PayLater + ModaPlus Mastercard",
+            "PayLater + ElektroMart Visa", "PayLater + ViajaYa World Elite"),
         "credit_limit": "credit_limit NOT IN (1500, 3000, 5000, 7500, 10000, 15000, 25000)",
-        "rewards_tier": _in("rewards_tier", "standard|silver|gold|platinum"),
-        "payment_behavior": _in("payment_behavior", "pays_full|pays_minimum|revolves|behind"),
-        "account_status": _in("account_status", "active|frozen|closed"),
+        "rewards_tier": _in("rewards_tier", "standard", "silver", "gold", "platinum"),
+        "payment_behavior": _in("payment_behavior", "pays_full", "pays_minimum", "revolves",
+                                "behind"),
+        "account_status": _in("account_status", "active", "frozen", "closed"),
     }),
 ))
 
@@ -316,12 +382,12 @@ def _id_rules(view: str, id_column: str, prefix: str) -> str:
     name = "lower(first_name) || '.' || lower(last_name)"
     rest = f"substr(email, length({name}) + 1)"
     return _rules(_CHANNEL[view], view, {
-        id_column: f"NOT (starts_with({id_column}, {start}) AND "
-        f"regexp_matches(substr({id_column}, length({start}) + 1), '^[0-9]{{3,}}$'))",
-        "customer_id": "NOT regexp_matches(customer_id, '^CUST[0-9]{4,}$')",
-        "email_names": f"NOT starts_with(email, {name})",
-        "email": f"NOT (starts_with(email, {name}) AND "
-        f"regexp_matches({rest}, '^[0-9]{{3,}}@[^@]+$'))",
+        id_column: f"NOT coalesce(starts_with({id_column}, {start}) AND "
+        f"regexp_matches(substr({id_column}, length({start}) + 1), '^[0-9]{{3,}}$'), false)",
+        "customer_id": "NOT coalesce(regexp_matches(customer_id, '^CUST[0-9]{4,}$'), false)",
+        "email_names": f"NOT coalesce(starts_with(email, {name}), false)",
+        "email": f"NOT coalesce(starts_with(email, {name}) AND "
+        f"regexp_matches({rest}, '^[0-9]{{3,}}@[^@]+$'), false)",
     })
 
 
@@ -360,7 +426,7 @@ _RANGES = "\nUNION ALL ".join((
 ))
 
 _NULLS = "\nUNION ALL ".join(
-    _rules(_CHANNEL[view], view, {c: f"{_DERIVED.get(c, c)} IS NULL" for c in columns.split()})
+    _rules(_CHANNEL[view], view, {c: f"{_DERIVED.get(c, c)} IS NULL" for c in columns})
     for view, columns in _COLUMNS.items()
 )
 
@@ -495,13 +561,13 @@ def oracle_sql() -> dict[str, str]:
             "count(*) FILTER (WHERE channel_count > 1) AS multi_channel_customers FROM profile",
         ),
         "portfolio_stats": _with(
-            "profile",
+            "stacked",
             "SELECT * REPLACE (cast(total_mobile_spend as double) AS total_mobile_spend, "
             "cast(total_partner_principal as double) AS total_partner_principal, "
             "cast(total_web_funded as double) AS total_web_funded, "
             f"cast(total_card_balance as double) AS total_card_balance) FROM ({STATS})",
         ),
-        "portfolio_tiles": _with("profile", f"SELECT * FROM (WITH s AS ({STATS}) {_TILES})"),
+        "portfolio_tiles": _with("stacked", f"SELECT * FROM (WITH s AS ({STATS}) {_TILES})"),
         "customers_top": _with(
             "profile",
             f"SELECT {SUMMARY} FROM profile ORDER BY channel_count DESC, email LIMIT 50",
@@ -509,8 +575,8 @@ def oracle_sql() -> dict[str, str]:
         "customers_search": _with(
             "profile",
             f"""SELECT {SUMMARY} FROM profile
-WHERE contains(lower(email), lower('Mer 00000')) OR
-  contains(lower(first_name || ' ' || last_name), lower('Mer 00000'))
+WHERE contains(lower(email), lower('mer 00000001')) OR
+  contains(lower(first_name || ' ' || last_name), lower('mer 00000001'))
 ORDER BY email LIMIT 500""",
         ),
         "customers_search_wildcard": _with(
@@ -528,7 +594,7 @@ ORDER BY email LIMIT 500""",
         "profile_missing": _with(
             "ids wanted",
             "SELECT DISTINCT email FROM wanted WHERE lower(email) NOT IN "
-            "(SELECT lower(email) FROM ids)",
+            "(SELECT lower(email) FROM ids WHERE email IS NOT NULL)",
         ),
         **{f"{name}_event_view": sql for name, sql in views.items()},
         **{f"{name}_event_rows": sql for name, sql in views.items()},
@@ -537,10 +603,37 @@ ORDER BY email LIMIT 500""",
             "SELECT email, mobile_app_order_count AS mobile_app_events, "
             "partner_loan_count AS partner_checkout_events, "
             "web_application_count AS web_portal_events, "
-            "card_account_count AS cobranded_card_events FROM profile",
+            "card_account_count AS cobranded_card_events FROM profile WHERE email IS NOT NULL",
         ),
         "section_titles": _with("profile", _SECTIONS),
         "profile_json": _with("profile", _JSON),
+        "profile_nested": _with("profile", _JSON),
+        "customers_search_email": _with(
+            "profile",
+            f"""SELECT {SUMMARY} FROM profile WHERE contains(lower(email), '.00000001')
+ORDER BY email LIMIT 500""",
+        ),
+        "profile_lookup_one": _with(
+            "profile",
+            f"""SELECT {FLAT} FROM profile WHERE lower(email) = 'customer.000000101@example.com'
+ORDER BY email LIMIT 1""",
+        ),
+        "partner_event_pages": _with(
+            "partner",
+            "SELECT email, count(*) AS events, true AS bounded, "
+            "string_agg(loan_id, ',' ORDER BY loan_id) AS loan_ids FROM partner "
+            "WHERE email IS NOT NULL GROUP BY email",
+        ),
+        "derived_amount_violations": _with("mobile partner", "\nUNION ALL ".join((
+            _rules("mobile_app", "mobile", {
+                "installment_amount": "stored_wrong AND 100 <> "
+                + _half_even(_cents("order_amount"), "nullif(installments, 0)"),
+                "installments_zero": "installments = 0",
+            }),
+            _rules("partner_checkout", "partner", {
+                "monthly_payment": "false", "term_months_zero": "term_months = 0",
+            }),
+        ))),
         "profile_display": _with(
             "profile",
             f"""SELECT email, customer_id, first_name || ' ' || last_name AS display_name,
@@ -567,7 +660,7 @@ ORDER BY email LIMIT 500""",
         ),
         "installment_amounts": _with(
             "mobile",
-            f"SELECT order_id, cast({_half_even(_cents('order_amount'), 'installments')} "
+            f"SELECT order_id, cast({_half_even(_cents('order_amount'), 'nullif(installments, 0)')} "
             "as double) / 100 AS installment_amount FROM mobile",
         ),
         "monthly_payments": _with(
@@ -575,7 +668,7 @@ ORDER BY email LIMIT 500""",
             "SELECT loan_id, cast("
             + _half_even(
                 f"{_cents('principal_amount')} * (10000 + {_cents('apr_pct')})",
-                "10000 * term_months",
+                "10000 * nullif(term_months, 0)",
             )
             + " as double) / 100 AS monthly_payment FROM partner",
         ),
@@ -623,6 +716,6 @@ ORDER BY email LIMIT 500""",
             f"""SELECT channel, cast(position as int) AS position, customer_id, email, first_name,
   last_name FROM (SELECT channel, ids.*, row_number() OVER (PARTITION BY channel
     ORDER BY md5(email || ':' || cast(seed as varchar)), email) AS position
-  FROM ids, {_SEEDS}) WHERE position <= 100""",
+  FROM ids, {_SEEDS} WHERE email IS NOT NULL) WHERE position <= 100""",
         ),
     }

@@ -1,4 +1,7 @@
-"""Derived amounts. All round half to even, on exact decimals."""
+"""Derived amounts. All round half to even, on exact decimals; a zero divisor gives null.
+
+Each formula is stated once, as SQL over the channel tables' own columns.
+"""
 
 from __future__ import annotations
 
@@ -9,35 +12,25 @@ from pyspark.sql import functions as F
 
 from tessera.schemas import INSTALLMENTS
 
-# The derivations as SQL over the channel tables' own columns.
-INSTALLMENT_AMOUNT = "bround(order_amount / installments, 2)"
-MONTHLY_PAYMENT = "bround(principal_amount * (1 + apr_pct / 100) / term_months, 2)"
+INSTALLMENT_AMOUNT = "bround(order_amount / nullif(installments, 0), 2)"
+# Flat (not amortised): principal plus one year's interest, spread over the term.
+MONTHLY_PAYMENT = "bround(principal_amount * (1 + apr_pct / 100) / nullif(term_months, 0), 2)"
 UTILIZATION_PCT = "bround(current_balance * 100 / nullif(credit_limit, 0), 2)"
 
 
-def _col(column) -> Column:
-    return column if isinstance(column, Column) else F.col(column)
-
-
-def half_even(column, digits: int = 2) -> Column:
-    return F.bround(_col(column), digits)
-
-
 def plan_installments(plan) -> Column:
     """Number of instalments of a payment plan; null for an unknown plan."""
     lookup = F.create_map(*(F.lit(x) for x in chain.from_iterable(INSTALLMENTS.items())))
-    return F.try_element_at(lookup, _col(plan))
+    return F.try_element_at(lookup, plan if isinstance(plan, Column) else F.col(plan))
 
 
-def installment_amount(order_amount, installments) -> Column:
-    return half_even(_col(order_amount) / _col(installments)).cast("decimal(10,2)")
+def installment_amount() -> Column:
+    return F.expr(f"cast({INSTALLMENT_AMOUNT} as decimal(10,2))")
 
 
-def monthly_payment(principal, apr_pct, term_months) -> Column:
-    """Flat (not amortised): principal plus one year's interest, spread over the term."""
-    rate = 1 + _col(apr_pct) / 100
-    return half_even(_col(principal) * rate / _col(term_months)).cast("decimal(10,2)")
+def monthly_payment() -> Column:
+    return F.expr(f"cast({MONTHLY_PAYMENT} as decimal(10,2))")
 
 
-def utilization_pct(balance, limit) -> Column:
-    return half_even(_col(balance) * 100 / _col(limit))
+def utilization_pct() -> Column:
+    return F.expr(UTILIZATION_PCT)

@@ -1,28 +1,21 @@
 """Event histories: rows to arrays per customer, and arrays back to rows for display.
 
-An array lives in one row of one task, so a customer with a very long history is split
-into pages: a bounded array per ``(email, event_page)``, all pages together holding every
-event. A customer whose history fits has one page, number 0.
+An array lives in one row of one task. `event_histories` gives one row per customer;
+`event_pages` gives every history in pages of a stated size.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import display
-from tessera.operators.rollups import customer_activity
 from tessera.schemas import CARD, MOBILE, PARTNER, WEB, Channel
-from tessera.session import stored
 from tessera.sources.tables import Channels, described
 
-PAGE_EVENTS = 50_000  # events per channel and page
-BROADCAST_ROWS = 100_000  # a list of e-mails up to this length is broadcast
-
-
 def event_struct(channel: Channel) -> Column:
     fields = (
         f"'{f.name}', cast({f.name} as {f.dataType.simpleString()})" for f in channel.event_type
@@ -48,119 +41,46 @@ def no_events(channel: Channel) -> Column:
     return F.array().cast(T.ArrayType(channel.event_type)).alias(channel.events)
 
 
-class LongHistories:
-    """The customers whose history exceeds one page, found from their event counts.
-
-    The counting reads e-mails only and combines before its shuffle. The list is stored: it
-    is short against what it takes to find it, and several joins read it.
-    """
-
-    def __init__(self, counts: DataFrame, channels: list[Channel], page_events: int):
-        pages = [f"int(ceil({c.count} / {page_events})) as {c.key}_pages" for c in channels]
-        names = ", ".join(f"{c.key}_pages" for c in channels)
-        # The zero keeps greatest() valid for a single channel.
-        listed = counts.selectExpr("email", *pages).selectExpr(
-            "*", f"greatest(0, {names}) as pages"
-        )
-        self.page_events = page_events
-        self.table = stored(listed.filter("pages > 1"))
-        size = self.table.count()
-        self.empty = size == 0
-        self.few = size <= BROADCAST_ROWS
-
-    def broadcast_if_few(self, df: DataFrame) -> DataFrame:
-        """For frames with a row per listed customer. Too many to broadcast are joined by a
-        shuffle, where adaptive execution splits hot e-mails."""
-        return F.broadcast(df) if self.few else df
-
-    def without(self, df: DataFrame) -> DataFrame:
-        listed = self.broadcast_if_few(self.table.select("email"))
-        return df if self.empty else df.join(listed, "email", "left_anti")
-
-    def only(self, df: DataFrame) -> DataFrame:
-        return df.join(self.broadcast_if_few(self.table.select("email")), "email", "left_semi")
-
-
-def find_long_histories(
-    channels: Channels, page_events: int, counts: DataFrame | None = None
-) -> LongHistories:
-    """``counts``: a frame that already has each customer's counts, such as a profile."""
-    counts = customer_activity(channels) if counts is None else counts
-    return LongHistories(counts, [c for c, _ in described(channels)], page_events)
-
-
-def _paged_channel(df: DataFrame, channel: Channel, long: LongHistories) -> DataFrame:
-    """(email, event_page, event, copies) of the long histories of one channel.
-
-    Pages are chosen by hash, so no task sees a whole history. Identical events are
-    counted first and split into runs, so that copies spread over the pages as well.
+def event_histories(channels: Channels) -> DataFrame:
+    """``email`` and the event arrays of the given channels, without the roll-ups: one row per
+    customer, whatever the length of the history, so a row must fit into a task's memory.
+    `event_pages` is the form without that bound."""
+    known = {c.key: df.filter("email is not null") for c, df in described(channels)}
+    arrays = [df.groupBy("email").agg(collect_events(c)) for c, df in described(known)]
+    if len(arrays) == 1:
+        return arrays[0]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), arrays)
+    return merged.groupBy("email").agg(*(merge_events(c) for c, _ in described(known)))
+
+
+def event_pages(df: DataFrame, channel: Channel, page_events: int) -> DataFrame:
+    """(email, event_page, events): each history in pages of at most ``page_events`` events, in
+    order of id and then of the other fields, the pages in order of their number. The same
+    for every customer.
+
+    No task needs a whole history and nothing is counted first: range partitions by e-mail and
+    event cut a hot e-mail into several, and each partition cuts its part into pages. The page's
+    number is the partition's, shifted, plus the page's within it; it is unique for an e-mail
+    and says nothing else. Equal events are told apart by their place in the file, so that
+    copies spread over the partitions.
     """
-    size = long.page_events
-    runs = (
-        df.join(long.broadcast_if_few(long.table.select("email", f"{channel.key}_pages")), "email")
-        .groupBy("email", f"{channel.key}_pages", event_struct(channel).alias("event"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / size))))
+    if page_events < 1:
+        raise ValueError("page_events must be 1 or more")
+    rows = df.filter("email is not null").select(
+        "email", event_struct(channel).alias("event"),
+        F.monotonically_increasing_id().alias("copy"),
     )
-    page = F.pmod(F.xxhash64("event", "run"), F.col(f"{channel.key}_pages")).cast("int")
-    return runs.select(
-        "email",
-        page.alias("event_page"),
-        "event",
-        F.least(F.lit(size), F.col("n") - F.col("run") * size).cast("int").alias("copies"),
+    ranged = rows.repartitionByRange("email", "event", "copy").withColumn(
+        "part", F.spark_partition_id().cast("long")
     )
-
-
-def long_history_pages(channels: Channels, long: LongHistories) -> DataFrame:
-    """Every page of every long history, with an array per channel."""
-    pages = []
-    for channel, df in described(channels):
-        run = F.struct("event", "copies")
-        copied = F.transform(
-            F.sort_array(F.collect_list(run)),
-            lambda run: F.array_repeat(run["event"], run["copies"]),
-        )
-        runs = _paged_channel(df, channel, long)
-        pages.append(
-            runs.groupBy("email", "event_page").agg(F.flatten(copied).alias(channel.events))
-        )
-    merged = (
-        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
-        .groupBy("email", "event_page")
-        .agg(*(merge_events(c) for c, _ in described(channels)))
+    own = Window.partitionBy("email", "part").orderBy("event", "copy")
+    page = F.floor((F.row_number().over(own) - 1) / page_events)
+    return (
+        ranged.withColumn("page", page)
+        .groupBy("email", "part", "page")
+        .agg(F.sort_array(F.collect_list("event")).alias("events"))
+        .select("email", (F.shiftleft("part", 32) + F.col("page")).alias("event_page"), "events")
     )
-    # A hash may leave a page empty; page 0 must exist for everyone, so start from numbers.
-    numbered = long.table.select(
-        "email", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("event_page")
-    )
-    arrays = (
-        F.coalesce(F.col(c.events), no_events(c)).alias(c.events) for c, _ in described(channels)
-    )
-    return numbered.join(merged, ["email", "event_page"], "left").select(
-        "email", "event_page", *arrays
-    )
-
-
-def event_histories(
-    channels: Channels,
-    page_events: int | None = PAGE_EVENTS,
-    counts: DataFrame | None = None,
-) -> DataFrame:
-    """``email``, ``event_page`` and the event arrays of the given channels, without the
-    roll-ups. ``page_events=None`` trusts every history to fit in one row."""
-    known = {c.key: df.filter("email is not null") for c, df in described(channels)}
-    long = None if page_events is None else find_long_histories(channels, page_events, counts)
-    arrays = [
-        (df if long is None else long.without(df)).groupBy("email").agg(collect_events(c))
-        for c, df in described(known)
-    ]
-    short = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), arrays)
-    if len(arrays) > 1:
-        short = short.groupBy("email").agg(*(merge_events(c) for c, _ in described(known)))
-    short = short.select("email", F.lit(0).alias("event_page"), *short.columns[1:])
-    if long is None or long.empty:
-        return short
-    return short.unionByName(long_history_pages(known, long))
 
 
 def event_rows(df: DataFrame, channel: Channel) -> DataFrame:
@@ -252,11 +172,9 @@ def event_view(rows: DataFrame, channel: Channel) -> DataFrame:
 
 
 def event_counts(histories: DataFrame, channels=(MOBILE, PARTNER, WEB, CARD)) -> DataFrame:
-    """The length of each array per customer, over all pages."""
-    sizes = [
-        F.sum(F.size(c.events)).cast("bigint").alias(f"{c.key}_events") for c in channels
-    ]
-    return histories.groupBy("email").agg(*sizes)
+    """The length of each array per customer."""
+    sizes = [F.size(c.events).cast("bigint").alias(f"{c.key}_events") for c in channels]
+    return histories.select("email", *sizes)
 
 
 def status_severity_summary(channels: Channels) -> DataFrame:

@@ -18,6 +18,7 @@ from tessera.schemas import (
     INSTALLMENTS,
     MOBILE,
     PARTNER,
+    PARTNER_SEGMENTS,
     RANGES,
     WEB,
     Channel,
@@ -70,13 +71,16 @@ def installment_check(mobile: DataFrame) -> DataFrame:
 
 
 def derived_amount_violations(channels: Channels) -> DataFrame:
-    """Stored instalments and monthly payments that differ from their derivation."""
+    """Stored instalments and monthly payments that differ from their derivation. A divisor of
+    zero has no derivation and is a violation of its own."""
     rules = {
         MOBILE.key: {
-            "installment_amount": f"installment_amount <> {INSTALLMENT_AMOUNT}"
+            "installment_amount": f"installment_amount <> {INSTALLMENT_AMOUNT}",
+            "installments_zero": "installments = 0",
         },
         PARTNER.key: {
-            "monthly_payment": f"monthly_payment <> {MONTHLY_PAYMENT}"
+            "monthly_payment": f"monthly_payment <> {MONTHLY_PAYMENT}",
+            "term_months_zero": "term_months = 0",
         },
     }
     given = {k: df for k, df in channels.items() if k in rules}
@@ -119,12 +123,16 @@ def delinquency_rule_violations(card: DataFrame) -> DataFrame:
 
 
 def accepted_values_report(channels: Channels) -> DataFrame:
-    return _reports(
-        channels,
-        lambda c: {
-            name: f"{name} not in ({_words(words)})" for name, words in DOMAINS[c.key].items()
-        },
-    )
+    """Values outside the closed lists; partner and segment count as a pair."""
+
+    def rules(c: Channel) -> dict[str, str]:
+        found = {n: f"{n} not in ({_words(words)})" for n, words in DOMAINS[c.key].items()}
+        if c is PARTNER:
+            pairs = ", ".join(f"({_words(pair)})" for pair in PARTNER_SEGMENTS.items())
+            found["partner_and_segment"] = f"(partner_name, partner_segment) not in ({pairs})"
+        return found
+
+    return _reports(channels, rules)
 
 
 def _continues(text: str, prefix: str, pattern: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,18 +15,20 @@ def customer_sample(
 ) -> DataFrame:
     """``size`` customers per channel without replacement, the same on any partitioning.
 
-    Each customer's hash with the channel's seed decides. The rank filter keeps the best
-    ``size`` rows of each task before the shuffle, so little is moved.
+    Each customer's hash with the channel's seed decides. Every channel is a top-k: each task
+    keeps its best ``size`` rows, whatever the size; only the chosen rows are numbered.
     """
-    draws = F.array(*(
-        F.struct(F.lit(channel).alias("channel"), F.lit(seed).alias("seed"))
+    known = customers.filter("email is not null").select(*IDENTITY)
+    drawn = [
+        known.select(
+            F.lit(channel).alias("channel"), *IDENTITY,
+            F.md5(F.concat("email", F.lit(f":{seed}"))).alias("draw"),
+        ).orderBy("draw", "email").limit(size)
         for channel, seed in seeds.items()
-    ))
-    drawn = customers.filter("email is not null").select(*IDENTITY, F.inline(draws))
-    keyed = drawn.withColumn("draw", F.md5(F.concat("email", F.lit(":"), "seed")))
+    ]
     order = Window.partitionBy("channel").orderBy("draw", "email")
     return (
-        keyed.withColumn("position", F.row_number().over(order))
-        .filter(F.col("position") <= size)
+        reduce(DataFrame.unionByName, drawn)
+        .withColumn("position", F.row_number().over(order))
         .select("channel", "position", *IDENTITY)
     )

@@ -42,11 +42,6 @@ TILE_LABELS = {
 }
 
 
-def one_row_per_customer(profiles: DataFrame) -> DataFrame:
-    """Leaves out the pages on which a long history continues."""
-    return profiles.filter("event_page = 0") if "event_page" in profiles.columns else profiles
-
-
 def lowered_email(profiles: DataFrame) -> Column:
     """The stored lower-case e-mail where there is one: a filter on it reaches the scan."""
     return F.col("email_lc") if "email_lc" in profiles.columns else F.lower("email")
@@ -62,7 +57,7 @@ def portfolio_stats(profiles: DataFrame) -> DataFrame:
     """One row. Amounts are added as decimals and become floats once, at the end; on an
     empty profile every sum is null."""
     multi = F.when(F.col("channel_count") > 1, 1).otherwise(0)
-    return one_row_per_customer(profiles).agg(
+    return profiles.agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.sum(multi).alias("multi_channel_customers"),
         *(F.sum(column).alias(name) for name, column in TOTAL_COUNTS.items()),
@@ -87,20 +82,20 @@ def portfolio_tiles(stats: DataFrame) -> DataFrame:
 
 def load_report(profiles: DataFrame) -> DataFrame:
     """How many customers, and how many in several channels, in one pass."""
-    return one_row_per_customer(profiles).agg(
+    return profiles.agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.count_if(F.col("channel_count") > 1).alias("multi_channel_customers"),
     )
 
 
 def multi_channel_customers(profiles: DataFrame) -> DataFrame:
-    return one_row_per_customer(profiles).filter(F.col("channel_count") > 1)
+    return profiles.filter(F.col("channel_count") > 1)
 
 
 def customers_top(profiles: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     check_limit(limit)
     return (
-        one_row_per_customer(profiles)
+        profiles
         .select(*SUMMARY_COLUMNS)
         .orderBy(F.col("channel_count").desc(), "email")
         .limit(limit)
@@ -124,7 +119,7 @@ def customers_search(
         text = F.lower(F.lit(q))
         found = email.contains(text) | name.contains(text)
     return (
-        one_row_per_customer(profiles)
+        profiles
         .filter(found)
         .select(*SUMMARY_COLUMNS)
         .orderBy("email")
@@ -146,18 +141,14 @@ def list_customers(
 
 
 def _lookup_columns(profiles: DataFrame) -> list[str]:
-    return [c for c in (*LOOKUP_COLUMNS, "event_page") if c in profiles.columns]
+    return [c for c in LOOKUP_COLUMNS if c in profiles.columns]
 
 
 def profile_lookup(profiles: DataFrame, email: str) -> DataFrame:
     """The profile of one e-mail in any case: the first by exact e-mail if several differ
-    only in case. No row if there is none; all pages of a long history."""
+    only in case. No row if there is none."""
     found = profiles.filter(lowered_email(profiles) == F.lower(F.lit(email)))
-    found = found.select(*_lookup_columns(profiles))
-    if "event_page" not in profiles.columns:
-        return found.orderBy("email").limit(1)
-    first = found.select("email").orderBy("email").limit(1)
-    return found.join(first, "email", "left_semi").select(*found.columns).orderBy("event_page")
+    return found.select(*_lookup_columns(profiles)).orderBy("email").limit(1)
 
 
 def _wanted(wanted: DataFrame) -> DataFrame:
@@ -179,44 +170,43 @@ def lookup_many(profiles: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def profiles_missing(profiles: DataFrame, wanted: DataFrame) -> DataFrame:
     """The wanted e-mails, as written, that have no profile in any case."""
-    known = one_row_per_customer(profiles).select(lowered_email(profiles).alias("known_lc"))
+    known = profiles.select(lowered_email(profiles).alias("known_lc"))
     asked = wanted.select("email").filter("email is not null").distinct()
     return asked.join(known, F.lower("email") == F.col("known_lc"), "left_anti")
 
 
 def channel_membership(profiles: DataFrame) -> DataFrame:
     """One row per customer and channel."""
-    return one_row_per_customer(profiles).select(
+    return profiles.select(
         "email", F.explode("channels_used").alias("channel")
     )
 
 
 def channel_labels(profiles: DataFrame) -> DataFrame:
-    labelled = one_row_per_customer(profiles).select(
+    labelled = profiles.select(
         "email", display.channel_labels("channels_used").alias("labels")
     )
     return labelled.select("email", F.explode("labels").alias("label"))
 
 
 def profile_json(profiles: DataFrame) -> DataFrame:
-    """One JSON text per row of a nested profile, to write as JSON lines. Only a row that
-    continues a long history also states its ``event_page``."""
-    text = json_object(profiles.schema, LOOKUP_COLUMNS)
-    if "event_page" not in profiles.columns:
-        return profiles.select("email", text.alias("json"))
-    continued = json_object(profiles.schema, (*LOOKUP_COLUMNS, "event_page"))
-    text = F.when(F.col("event_page") > 0, continued).otherwise(text)
-    return profiles.select("email", "event_page", text.alias("json"))
+    """One JSON text per row of a nested profile, to write as JSON lines."""
+    return profiles.select("email", json_object(profiles.schema, LOOKUP_COLUMNS).alias("json"))
 
 
 def profile_display(profiles: DataFrame) -> DataFrame:
     """A profile's header and tiles as text."""
     money, number = display.whole_dollars, display.grouped_int
-    return one_row_per_customer(profiles).select(
+    return profiles.select(
         "email",
         "customer_id",
         display.full_name().alias("display_name"),
         F.array_join(display.channel_labels("channels_used"), ", ").alias("channels"),
+        *(
+            [display.day_text("profile_last_updated").alias("last_updated")]
+            if "profile_last_updated" in profiles.columns
+            else []
+        ),
         number("channel_count").alias("channel_count"),
         number("mobile_app_order_count").alias("mobile_orders"),
         money("mobile_app_total_spend").alias("mobile_spend"),
@@ -235,5 +225,5 @@ def section_titles(profiles: DataFrame) -> DataFrame:
         F.struct(F.lit(name).alias("section"), F.col(count).alias("n"))
         for name, count in zip(EVENT_COLUMNS, COUNT_COLUMNS, strict=True)
     ))
-    rows = one_row_per_customer(profiles).select("email", F.inline(titles)).filter("n > 0")
+    rows = profiles.select("email", F.inline(titles)).filter("n > 0")
     return rows.select("email", "section", display.events_text("n").alias("events"))

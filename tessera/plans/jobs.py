@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import Row, SparkSession
 
-from tessera.operators.events import PAGE_EVENTS
 from tessera.operators.serve import load_report
 from tessera.plans.profile import profile_nested
 from tessera.sources.sinks import for_lookup, replace_table_as
@@ -19,7 +18,6 @@ def consolidate(
     spark: SparkSession,
     names: TableNames,
     as_of: datetime | str | None = None,
-    page_events: int | None = PAGE_EVENTS,
     buckets: int | None = None,
 ) -> Row:
     """Rebuild the profile table; returns the customer and multi-channel customer counts.
@@ -27,7 +25,7 @@ def consolidate(
     The report reads one small column of the written table, so it also holds if tasks of the
     writing job had to be repeated.
     """
-    profiles = profile_nested(channels_from_catalog(spark, names), as_of, page_events)
+    profiles = profile_nested(channels_from_catalog(spark, names), as_of)
     replace_table_as(
         for_lookup(profiles), names, names.profile_table, PROFILE_COMMENT, buckets
     )

@@ -7,14 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.events import (
-    PAGE_EVENTS,
-    collect_events,
-    find_long_histories,
-    long_history_pages,
-    merge_events,
-    no_events,
-)
+from tessera.operators.events import collect_events, merge_events, no_events
 from tessera.operators.identity import identity_resolution, smallest_identity
 from tessera.operators.rollups import channel_rollup, completed, merge_channels
 from tessera.schemas import CHANNELS, FLAT_COLUMNS, PROFILE_COLUMNS
@@ -41,27 +34,15 @@ def profile_flat(channels: Channels) -> DataFrame:
     return merged.select("*", "identity.*").select(*FLAT_COLUMNS)
 
 
-def profile_nested(
-    channels: Channels,
-    as_of: datetime | str | None = None,
-    page_events: int | None = PAGE_EVENTS,
-    flat: DataFrame | None = None,
-) -> DataFrame:
-    """The full profile plus ``event_page``.
+def profile_nested(channels: Channels, as_of: datetime | str | None = None) -> DataFrame:
+    """The full profile: one row per e-mail with the roll-ups and every event.
 
-    A customer with up to ``page_events`` events in every channel has one row, page 0, as
-    has one without an e-mail. A longer history continues on further rows, which repeat the
-    identity and the roll-ups: count customers on page 0 only (`serve.one_row_per_customer`).
-    ``page_events=None`` trusts every history to fit in one row. ``flat`` is an already
-    stored flat profile of the same channels; it saves the counting of the histories.
+    A customer's whole history is one row of one task, however long it is. Where histories
+    may outgrow that, `profile_flat` beside `event_pages` holds the same in bounded rows.
     """
-    long = None if page_events is None else find_long_histories(channels, page_events, flat)
     identity = smallest_identity()
     summaries = {
-        c.key: channel_rollup(
-            df if long is None else long.without(df), c, identity, collect_events(c)
-        )
-        for c, df in described(channels)
+        c.key: channel_rollup(df, c, identity, collect_events(c)) for c, df in described(channels)
     }
     merged = merge_channels(
         summaries,
@@ -69,19 +50,9 @@ def profile_nested(
         *(merge_events(c) for c, _ in described(channels)),
     )
     absent = {c.events: no_events(c) for c in CHANNELS if c.key not in channels}
-    profile = (
-        merged.select("*", "identity.*").withColumns(absent).withColumn("event_page", F.lit(0))
-    )
-    columns = [c for c in PROFILE_COLUMNS if c != "profile_last_updated"]
-    profile = profile.select(*columns, "event_page")
-    if long is not None and not long.empty:
-        theirs = {key: long.only(df) for key, df in channels.items()}
-        source = profile_flat(theirs) if flat is None else long.only(flat)
-        pages = long_history_pages(channels, long).withColumns(absent)
-        # Broadcasting the customers leaves one customer's pages spread over the tasks.
-        customers = long.broadcast_if_few(source.select(*FLAT_COLUMNS))
-        profile = profile.unionByName(customers.join(pages, "email"))
     stamp = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    return profile.withColumn("profile_last_updated", stamp).select(
-        *PROFILE_COLUMNS, "event_page"
+    return (
+        merged.select("*", "identity.*")
+        .withColumns({**absent, "profile_last_updated": stamp})
+        .select(*PROFILE_COLUMNS)
     )

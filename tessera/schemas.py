@@ -258,6 +258,10 @@ DOMAINS = {
         ),
     },
     "cobranded_card": {
+        "card_partner": (
+            "PayLater + MercadoBuy Visa", "PayLater + ModaPlus Mastercard",
+            "PayLater + ElektroMart Visa", "PayLater + ViajaYa World Elite",
+        ),
         "credit_limit": (1500, 3000, 5000, 7500, 10000, 15000, 25000),
         "rewards_tier": ("standard", "silver", "gold", "platinum"),
         "payment_behavior": ("pays_full", "pays_minimum", "revolves", "behind"),
@@ -265,6 +269,17 @@ DOMAINS = {
     },
 }
 
+# The partners and the segment of each.
+PARTNER_SEGMENTS = {
+    "MercadoBuy": "marketplace",
+    "ElektroMart": "electronics",
+    "ModaPlus": "fashion",
+    "HogarTotal": "home",
+    "ViajaYa": "travel",
+    "DeporteMax": "sports",
+    "FarmaPlus": "pharmacy",
+}
+
 # Instalments of each payment plan.
 INSTALLMENTS = {"pay_in_4": 4, "6mo_installments": 6, "12mo_installments": 12}
 

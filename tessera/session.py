@@ -1,11 +1,8 @@
-"""Session settings the results depend on, and intermediate tables."""
+"""Session settings the results depend on."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "tessera", master: str | None = None, **conf) -> SparkSession:
@@ -23,23 +20,3 @@ def build_session(app: str = "tessera", master: str | None = None, **conf) -> Sp
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables that every executor can reach."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    folder = folder or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tessera-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once for all its readers,
-    and a lost executor costs no more than another read."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -49,12 +49,17 @@ def replace_table_as(
 
     The rows go to a new table; only when that is complete does a view of the given name
     start to point at it. Readers see the old rows or the new ones, and a failed job changes
-    nothing. The version before last is dropped; the last stays for queries under way.
+    nothing. The version before last is dropped; the last stays for queries under way. If a
+    table, or a view made otherwise, already has the name, nothing is written and an error
+    says so. Of two replacements at once the later publication counts; the other's version
+    stays in the catalog, since nobody can know whether it is still read.
 
     With a column ``email_lc`` its Bloom filters are written, which let a lookup skip most
     files' data at no extra shuffle; ``buckets`` shuffles once more and lets it open one file.
     """
     spark = df.sparkSession
+    view = names.qualified(table)
+    previous, kept = _own_versions(spark, view)
     version = f"{table}_v{uuid.uuid4().hex[:12]}"
     if buckets and "email_lc" in df.columns:
         writer = df.repartition(buckets, "email_lc").write
@@ -64,30 +69,29 @@ def replace_table_as(
     if "email_lc" in df.columns:
         writer = writer.option("parquet.bloom.filter.enabled#email_lc", "true")
     writer.format("parquet").saveAsTable(names.qualified(version))
-    view = names.qualified(table)
-    previous = _current_version(spark, view)
     note = f"COMMENT {_text(comment)} " if comment else ""
-    points = f"TBLPROPERTIES ('version' = '{version}')"
+    chain = f"'version' = '{version}', 'previous' = '{previous or ''}'"
     spark.sql(
-        f"CREATE OR REPLACE VIEW {view} {note}{points} AS "
+        f"CREATE OR REPLACE VIEW {view} {note}TBLPROPERTIES ({chain}) AS "
         f"SELECT * FROM {names.qualified(version)}"
     )
-    for old in _versions(spark, names, table) - {version, previous}:
-        spark.sql(f"DROP TABLE {names.qualified(old)}")
+    if kept is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {names.qualified(kept)}")
 
 
-def _current_version(spark: SparkSession, view: str) -> str | None:
+def _own_versions(spark: SparkSession, view: str) -> tuple[str | None, str | None]:
+    """The version the view points at and the one before it, as the view itself records them.
+    Nothing else is ever dropped: not tables that are named alike, and not versions that
+    another replacement has written and not yet published.
+    """
     if not spark.catalog.tableExists(view):
-        return None
+        return None, None
+    if spark.catalog.getTable(view).tableType != "VIEW":
+        raise ValueError(f"{view} is a table of its own; only a view of versions is replaced")
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
-    return properties.get("version")
-
-
-def _versions(spark: SparkSession, names: TableNames, table: str) -> set[str]:
-    place = ".".join(p for p in (names.catalog, names.schema) if p)
-    scope = f" IN {place}" if place else ""
-    found = spark.sql(f"SHOW TABLES{scope} LIKE '{table}_v*'").collect()
-    return {r["tableName"] for r in found if len(r["tableName"]) == len(table) + 14}
+    if "version" not in properties:
+        raise ValueError(f"{view} is a view that does not point at a version")
+    return properties["version"], properties.get("previous") or None
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:

@@ -36,6 +36,21 @@ IDENTITY = (
 )
 
 
+def varied(key: str) -> list[str]:
+    """Identities as channels know them: some rows by guests without an e-mail, some with the
+    e-mail in capitals, under a second customer id, or without a last name."""
+    return [
+        f"if({key} % 89 = 0, concat(customer_id, '7'), customer_id) as customer_id",
+        f"case when {key} % 97 = 0 then null when {key} % 101 = 0 then upper(email) "
+        "else email end as email",
+        "first_name",
+        f"if({key} % 83 = 0, null, last_name) as last_name",
+    ]
+
+
+CUSTOMER = ("customer_id", "email", "first_name", "last_name")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,26 +61,31 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mobile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").filter("o_custkey % 3 <> 0")
+    orders = read_table(spark, sf_dir, "orders")
     rows = orders.selectExpr(
         "o_custkey as c_custkey",
+        "o_orderkey as row_key",
         "concat('MOB-', o_orderkey) as order_id",
         "if(o_orderkey % 2 = 0, 'iOS', 'Android') as device_platform",
         "elt(int(o_orderkey % 4) + 1, '6.4.1', '6.5.0', '6.6.2', '7.0.0') as app_version",
         "substr(o_orderpriority, 3) as merchant_category",
         "elt(int(o_orderkey % 3) + 1, 'pay_in_4', '6mo_installments', '12mo_installments') "
         "as bnpl_plan",
-        "case o_orderkey % 3 when 0 then 4 when 1 then 6 else 12 end as installments",
+        "case when o_orderkey % 50 = 7 then 0 when o_orderkey % 3 = 0 then 4 "
+        "when o_orderkey % 3 = 1 then 6 else 12 end as installments",
         "cast(o_totalprice as decimal(10,2)) as order_amount",
         "case o_orderstatus when 'F' then 'completed' when 'O' then 'active' "
         "else 'late_payment' end as status",
         "o_orderdate as order_ts",
     ).join(customers(spark, sf_dir), "c_custkey")
-    return conform(rows.selectExpr("*", f"{INSTALLMENT_AMOUNT} as installment_amount"), MOBILE)
+    others = [c for c in rows.columns if c not in CUSTOMER]
+    rows = rows.selectExpr(*others, *varied("row_key"))
+    stored = f"if(row_key % 60 = 11, 1.00, {INSTALLMENT_AMOUNT}) as installment_amount"
+    return conform(rows.selectExpr("*", stored), MOBILE)
 
 
 def partner_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").filter("o_custkey % 4 = 1")
+    orders = read_table(spark, sf_dir, "orders")
     partners = (
         read_table(spark, sf_dir, "supplier")
         .join(read_table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey"),
@@ -81,14 +101,14 @@ def partner_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(partners, "l_suppkey")
         .selectExpr(
             "concat('PRT-', l_orderkey, '-', l_linenumber) as loan_id",
-            "customer_id", "email", "first_name", "last_name",
+            *varied("(l_orderkey * 8 + l_linenumber)"),
             "partner_name", "partner_segment",
             "elt(l_linenumber % 3 + 1, 'widget', 'redirect', 'headless_api') "
             "as integration_type",
             "cast(l_extendedprice as decimal(10,2)) as principal_amount",
             "cast(l_discount * 100 as decimal(5,2)) as apr_pct",
-            "case when l_linenumber <= 2 then 3 when l_linenumber <= 4 then 6 else 12 end "
-            "as term_months",
+            "case when l_orderkey % 70 = 4 then 0 when l_linenumber <= 2 then 3 "
+            "when l_linenumber <= 4 then 6 else 12 end as term_months",
             "case l_returnflag when 'A' then 'approved' when 'N' then 'manual_review' "
             "else 'declined' end as approval_status",
             "date(l_shipdate) as originated_date",
@@ -102,14 +122,16 @@ def web_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "events")
         .selectExpr(
             "user_id as c_custkey",
+            "event_id as row_key",
             "concat('WEB-', event_id) as application_id",
             "elt(int(event_id % 6) + 1, 'google_ads', 'meta_ads', 'tiktok', 'organic', 'email', "
             "'referral') as utm_source",
             "elt(int(event_id % 4) + 1, 'medical', 'education', 'travel', 'wedding') "
             "as loan_purpose",
             "cast(value as decimal(10,2)) * 100 as requested_amount",
-            "if(event_type in ('signup', 'purchase', 'click'), "
-            "cast(value as decimal(10,2)) * 80, 0) as funded_amount",
+            "case when event_id % 40 = 9 then cast(value as decimal(10,2)) * 50 "
+            "when event_type in ('signup', 'purchase', 'click') "
+            "then cast(value as decimal(10,2)) * 80 else 0 end as funded_amount",
             "540 + event_id % 281 as credit_score",
             "if(event_id % 2 = 0, 'full_time', 'contractor') as employment_status",
             "18000 + event_id % 162000 as annual_income",
@@ -119,25 +141,28 @@ def web_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .join(customers(spark, sf_dir), "c_custkey")
     )
-    return conform(rows, WEB)
+    others = [c for c in rows.columns if c not in CUSTOMER]
+    return conform(rows.selectExpr(*others, *varied("row_key")), WEB)
 
 
 def card_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         read_table(spark, sf_dir, "customer")
-        .filter("c_custkey % 5 < 2 and c_acctbal >= 0")
+        .selectExpr("*", *IDENTITY)
         .selectExpr(
             "concat('CARD-', c_custkey) as account_id",
-            *IDENTITY,
+            *varied("c_custkey"),
             "c_mktsegment as card_partner",
             "10000 as credit_limit",
             "cast(c_acctbal as decimal(12,2)) as current_balance",
             "bround(cast(round(c_acctbal * 100) as decimal(12,0)) / 10000, 2) "
-            "as utilization_pct",
+            "+ if(c_custkey % 7 = 0, 30, 0) as utilization_pct",
             "elt(c_nationkey % 4 + 1, 'standard', 'silver', 'gold', 'platinum') as rewards_tier",
             "elt(int(c_custkey % 4) + 1, 'pays_full', 'pays_minimum', 'revolves', 'behind') "
             "as payment_behavior",
-            "if(c_custkey % 4 = 3, 30 * (1 + c_custkey % 3), 0) as delinquency_days",
+            "case when c_custkey % 28 = 3 then 45 when c_custkey % 20 = 1 then 15 "
+            "when c_custkey % 4 = 3 then 30 * (1 + c_custkey % 3) else 0 end "
+            "as delinquency_days",
             "case when c_custkey % 6 < 4 then 'active' when c_custkey % 6 = 4 then 'frozen' "
             "else 'closed' end as account_status",
             "date '2024-06-01' as account_opened",

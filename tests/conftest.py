@@ -41,7 +41,7 @@ DEFAULTS = {
     "installment_amount": Decimal("25.00"),
     "status": "completed",
     "order_ts": dt.datetime(2026, 1, 2, 3, 4, 5),
-    "partner_name": "Shop",
+    "partner_name": "HogarTotal",
     "partner_segment": "home",
     "integration_type": "widget",
     "principal_amount": Decimal("600.00"),
@@ -59,7 +59,7 @@ DEFAULTS = {
     "annual_income": Decimal("50000.00"),
     "kyc_status": "passed",
     "applied_date": dt.date(2025, 9, 9),
-    "card_partner": "Visa",
+    "card_partner": "PayLater + MercadoBuy Visa",
     "credit_limit": Decimal("5000.00"),
     "current_balance": Decimal("1000.00"),
     "utilization_pct": Decimal("20.00"),

@@ -95,24 +95,39 @@ money = st.decimals(min_value=0, max_value=99999, places=2)
     )
 )
 def test_derived_amounts(spark, rows):
-    kind = "a decimal(10,2), n int, r decimal(5,2), t int"
-    got = spark.createDataFrame(rows, kind).select(
-        "a", "n", "r", "t",
-        amounts.installment_amount("a", "n").alias("i"),
-        amounts.monthly_payment("a", "r", "t").alias("m"),
+    kind = (
+        "order_amount decimal(10,2), installments int, apr_pct decimal(5,2), term_months int"
+    )
+    got = spark.createDataFrame(rows, kind).withColumn("principal_amount", F.col("order_amount"))
+    got = got.select(
+        "*", amounts.installment_amount().alias("i"), amounts.monthly_payment().alias("m")
     )
     for row in got.collect():
-        assert row.i == half_even(row.a / row.n)
-        assert row.m == half_even(row.a * (1 + row.r / 100) / row.t)
+        assert row.i == half_even(row.order_amount / row.installments)
+        rate = 1 + row.apr_pct / 100
+        assert row.m == half_even(row.order_amount * rate / row.term_months)
 
 
 def test_halves_go_to_even(spark):
     rows = [(Decimal("0.02"), 4), (Decimal("0.06"), 4), (Decimal("0.10"), 4)]
-    df = spark.createDataFrame(rows, "a decimal(10,2), n int")
-    got = [r[0] for r in df.select(amounts.installment_amount("a", "n")).collect()]
+    df = spark.createDataFrame(rows, "order_amount decimal(10,2), installments int")
+    got = [r[0] for r in df.select(amounts.installment_amount()).collect()]
     assert got == [Decimal("0.00"), Decimal("0.02"), Decimal("0.02")]
-    assert one(spark, Decimal("333.33"), "decimal(12,2)",
-               lambda x: amounts.utilization_pct(x, F.lit(1000))) == Decimal("33.33")
+    card = spark.sql(
+        "select cast(333.33 as decimal(12,2)) current_balance, "
+        "explode(array(cast(1000 as decimal(12,2)), 0)) credit_limit"
+    )
+    got = [r[0] for r in card.select(amounts.utilization_pct()).collect()]
+    assert got == [Decimal("33.33"), None]
+
+
+def test_zero_divisors_give_null(spark):
+    row = spark.sql(
+        "select cast(5 as decimal(10,2)) order_amount, 0 installments, "
+        "cast(5 as decimal(10,2)) principal_amount, cast(1 as decimal(5,2)) apr_pct, "
+        "0 term_months"
+    ).select(amounts.installment_amount(), amounts.monthly_payment()).first()
+    assert tuple(row) == (None, None)
 
 
 def test_json_values(spark):

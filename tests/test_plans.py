@@ -1,7 +1,10 @@
 """The physical plans are the ones meant: scans, shuffles, joins, push-down."""
 
+import os
+
 import pytest
 
+import __spark_entry__ as entry
 from tessera.operators import serve
 from tessera.operators.events import event_rows, event_view
 from tessera.operators.identity import identity_resolution
@@ -12,6 +15,9 @@ from tessera.schemas import CHANNELS, MOBILE
 from tessera.sources.tables import channels_from_parquet
 
 
+SF = "/root/testdata/sf0.001"
+
+
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("channels")
@@ -39,7 +45,7 @@ def test_flat_reads_once_and_shuffles_once_per_channel(stored):
 
 
 def test_nested_reads_once(stored):
-    nested = profile_nested(stored, page_events=None)
+    nested = profile_nested(stored)
     assert counts(nested) == {"scans": 4, "shuffles": 4, "joins": 0}
 
 
@@ -67,13 +73,28 @@ def test_event_rows_do_not_shuffle(stored):
     assert "Exchange" not in text and "PushedFilters: [IsNotNull(email)]" in text
 
 
-def test_sample_keeps_its_best_rows_before_the_shuffle(stored):
-    text = plan(customer_sample(identity_resolution(stored)))
-    assert "WindowGroupLimit" in text and "Partial" in text
+@pytest.mark.parametrize("size", [100, 5000])
+def test_sample_is_a_top_k_per_channel(stored, size):
+    text = plan(customer_sample(identity_resolution(stored), size))
+    assert text.count("TakeOrderedAndProject") == 4
+
+
+def test_lookup_scans_each_channel_once(stored):
+    found = serve.profile_lookup(profile_flat(stored), "A@x.org")
+    assert counts(found) == {"scans": 4, "shuffles": 4, "joins": 0}
+
+
+@pytest.mark.parametrize("name", sorted(entry._queries()))
+def test_building_a_query_starts_no_job(spark, name):
+    if not os.path.isdir(SF):
+        pytest.skip("no test data")
+    spark.sparkContext.setJobGroup(f"build-{name}", "building")
+    entry._queries()[name](spark, SF)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
 
 
 def test_no_python_in_any_plan(stored):
-    for df in (profile_flat(stored), profile_nested(stored), serve.profile_json(
-            profile_nested(stored, page_events=None))):
+    nested = profile_nested(stored)
+    for df in (profile_flat(stored), nested, serve.profile_json(nested)):
         assert "Python" not in plan(df) and "Cartesian" not in plan(df)
         assert "NestedLoop" not in plan(df)

@@ -6,11 +6,16 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.events import event_histories, event_rows, exploded_events
+from tessera.operators.events import (
+    event_histories,
+    event_pages,
+    event_rows,
+    exploded_events,
+)
 from tessera.operators.identity import identity_resolution, identity_union
 from tessera.operators.rollups import customer_activity
 from tessera.plans.profile import profile_flat, profile_flat_joined, profile_nested
-from tessera.schemas import BY_KEY, CHANNELS, FLAT_COLUMNS, PROFILE_COLUMNS, ROLLUPS
+from tessera.schemas import BY_KEY, CHANNELS, FLAT_COLUMNS, MOBILE, PROFILE_COLUMNS, ROLLUPS
 
 A, B, UPPER = "a@x.org", "b@x.org", "A@x.org"
 
@@ -87,13 +92,13 @@ def test_forms_agree(mixed):
     assert [f.dataType for f in single.schema] == [f.dataType for f in joined.schema]
     rows = sorted(map(repr, single.collect()))
     assert rows == sorted(map(repr, joined.collect()))
-    nested = profile_nested(mixed, page_events=None).select(*FLAT_COLUMNS)
+    nested = profile_nested(mixed).select(*FLAT_COLUMNS)
     assert rows == sorted(map(repr, nested.collect()))
 
 
 def test_types(mixed):
     nested = profile_nested(mixed)
-    assert nested.columns == [*PROFILE_COLUMNS, "event_page"]
+    assert nested.columns == list(PROFILE_COLUMNS)
     types = {f.name: f.dataType for f in nested.schema}
     for r in ROLLUPS:
         assert types[r.name] == r.type
@@ -165,54 +170,34 @@ def hot(channels, table, spark):
     return built | {"mobile_app": built["mobile_app"].unionByName(copies)}
 
 
-def collected(df):
-    return [r.asDict(recursive=True) for r in df.collect()]
-
-
-def all_events(rows, channel):
-    return sorted(repr((r["email"], e)) for r in rows for e in r[channel.events])
-
-
-@pytest.mark.parametrize("page_events", [1, 7, 40, 89])
-def test_long_histories_are_paged_and_whole(hot, page_events):
-    whole = collected(profile_nested(hot, as_of="2026-01-01", page_events=None))
-    paged = collected(profile_nested(hot, as_of="2026-01-01", page_events=page_events))
-    for c in CHANNELS:
-        assert all_events(whole, c) == all_events(paged, c)
-    roll_ups = {repr([r[c] for c in FLAT_COLUMNS]) for r in whole}
-    assert {repr([r[c] for c in FLAT_COLUMNS]) for r in paged} == roll_ups
-    first = [r["email"] for r in paged if r["event_page"] == 0]
-    assert len(whole) == len(first) == len(set(first)) == 3
-    assert max(len(r["mobile_app_events"]) for r in paged) < 90
-    assert [r["event_page"] for r in paged if r["email"] == B] == [0]
-
-
-def test_pages_are_the_same_on_any_partitioning(hot):
-    def rows(channels):
-        df = profile_nested(channels, as_of="2026-01-01", page_events=7)
-        return sorted(map(repr, df.collect()))
-
-    moved = {k: df.repartition(5) for k, df in hot.items()}
-    assert rows(hot) == rows(moved)
-
-
-def test_pages_from_a_stored_flat_profile_and_beyond_the_broadcast_limit(hot, monkeypatch):
-    import tessera.operators.events as events
-
-    def rows(**how):
-        df = profile_nested(hot, as_of="2026-01-01", page_events=7, **how)
-        return sorted(map(repr, df.collect()))
-
-    plain = rows()
-    assert rows(flat=profile_flat(hot)) == plain
-    monkeypatch.setattr(events, "BROADCAST_ROWS", 0)
-    assert rows() == plain
-
-
-@pytest.mark.parametrize("page_events", [None, 7])
-def test_histories_equal_rows(hot, page_events):
+@pytest.mark.parametrize("size", [1, 7, 40, 1000])
+def test_pages_hold_every_event_in_order(spark, hot, size):
+    pages = event_pages(hot["mobile_app"].repartition(3), MOBILE, size).collect()
+    assert max(len(p["events"]) for p in pages) <= size
+    for email, n in ((A, 90), (B, 1)):
+        own = sorted((p for p in pages if p["email"] == email), key=lambda p: p["event_page"])
+        ids = [e["order_id"] for p in own for e in p["events"]]
+        assert len(ids) == n and ids == sorted(ids)
+        assert len({p["event_page"] for p in own}) == len(own)
+    assert {p["email"] for p in pages} == {A, B}
+
+
+def test_a_hot_history_is_spread_over_tasks(spark, table):
+    copies = duplicated(table("mobile_app", {"email": A, "order_id": "copy"}), 4000)
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pages = event_pages(copies.repartition(4), MOBILE, 10)
+        sizes = pages.groupBy(F.spark_partition_id()).agg(F.sum(F.size("events"))).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(n for _, n in sizes) == 4000 and max(n for _, n in sizes) <= 2400
+
+
+def test_histories_equal_rows(hot):
     for keys in (["mobile_app"], ["mobile_app", "web_portal"]):
-        histories = event_histories({k: hot[k] for k in keys}, page_events)
+        histories = event_histories({k: hot[k] for k in keys})
         for key in keys:
             a = exploded_events(histories, BY_KEY[key])
             b = event_rows(hot[key], BY_KEY[key])

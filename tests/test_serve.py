@@ -90,34 +90,27 @@ def test_lookup(people, flat):
     assert emails(serve.profile_lookup(flat, "cAse@x.org")) == ["CASE@x.org"]
     assert emails(serve.profile_lookup(flat, "no@x.org")) == []
     assert emails(serve.profile_lookup(flat, "' or 1=1 --")) == []
-    nested = profile_nested(people, page_events=None)
-    found = serve.profile_lookup(nested, "case@x.org")
-    assert found.columns == [*LOOKUP_COLUMNS, "event_page"]
+    found = serve.profile_lookup(profile_nested(people), "case@x.org")
+    assert found.columns == list(LOOKUP_COLUMNS)
     assert emails(found) == ["CASE@x.org"]
     stored = for_lookup(flat)
     assert emails(serve.profile_lookup(stored, "ANA.roy@X.org")) == ["ana.roy@x.org"]
 
 
-def test_lookup_gives_all_pages(channels):
+def test_long_history_is_one_row_and_one_text(table):
     rows = [{"email": "a@x.org", "order_id": str(i)} for i in range(9)]
-    nested = profile_nested(channels(mobile_app=rows), page_events=2)
-    found = serve.profile_lookup(nested, "A@X.ORG").collect()
-    assert [r["event_page"] for r in found] == list(range(len(found))) and len(found) == 5
-    assert sum(len(r["mobile_app_events"]) for r in found) == 9
+    nested = profile_nested({"mobile_app": table("mobile_app", *rows)})
+    assert len(serve.profile_lookup(nested, "A@X.ORG").first()["mobile_app_events"]) == 9
+    (text,) = serve.profile_json(nested).collect()
+    parsed = json.loads(text["json"])
+    assert list(parsed) == list(LOOKUP_COLUMNS) and parsed["web_application_events"] == []
+    assert [e["order_id"] for e in parsed["mobile_app_events"]] == [str(i) for i in range(9)]
 
 
-def test_json_of_pages_with_absent_channels(table):
-    rows = [{"email": "a@x.org", "order_id": str(i)} for i in range(9)]
-    only = {"mobile_app": table("mobile_app", *rows)}
-    texts = serve.profile_json(profile_nested(only, page_events=2)).collect()
-    parsed = [json.loads(r["json"]) for r in texts]
-    pages = sorted(p.pop("event_page", 0) for p in parsed)
-    assert pages == list(range(5))
-    assert all(list(p) == list(LOOKUP_COLUMNS) for p in parsed)
-    assert all(p["mobile_app_order_count"] == 9 for p in parsed)
-    assert all(p["web_application_events"] == [] for p in parsed)
-    ids = sorted(e["order_id"] for p in parsed for e in p["mobile_app_events"])
-    assert ids == [str(i) for i in range(9)]
+def test_display_has_the_last_update_of_a_stored_profile(people, flat):
+    shown = serve.profile_display(profile_nested(people, as_of="2026-05-01")).first()
+    assert shown["last_updated"] is not None
+    assert "last_updated" not in serve.profile_display(flat).columns
 
 
 def test_lookup_many_and_missing(spark, flat):
@@ -149,7 +142,7 @@ def test_report_and_filters(flat):
 
 def test_json(people):
     stamp = "2026-05-01 12:30:00.5"
-    nested = profile_nested(people, as_of=stamp, page_events=None)
+    nested = profile_nested(people, as_of=stamp)
     texts = {r["email"]: json.loads(r["json"]) for r in serve.profile_json(nested).collect()}
     ana = texts["ana.roy@x.org"]
     assert list(ana) == list(LOOKUP_COLUMNS)

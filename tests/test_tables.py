@@ -87,6 +87,26 @@ def test_replace_is_one_step(spark, names):
     assert len(versions(spark, names)) == 2
 
 
+def test_replace_drops_nothing_it_did_not_publish(spark, names):
+    alike = ("u_validated_tmp", "u_v0123456789ab", "u_vabcdefabcdef")
+    for table in alike:  # a user's tables, and another replacement's unpublished version
+        spark.sql(f"CREATE TABLE {names.qualified(table)} AS SELECT 1 AS mine")
+    for i in range(4):
+        replace_table_as(spark.sql(f"select {i} as a"), names, "u")
+    assert [r.a for r in spark.table(names.qualified("u")).collect()] == [3]
+    assert all(spark.catalog.tableExists(names.qualified(t)) for t in alike)
+    assert len([v for v in versions(spark, names) if v.startswith("u_v")]) == len(alike) + 2
+
+
+def test_replace_refuses_a_table_of_its_own_before_writing(spark, names):
+    spark.sql(f"CREATE TABLE {names.qualified('plain')} AS SELECT 1 AS a")
+    before = versions(spark, names)
+    with pytest.raises(ValueError, match="a table of its own"):
+        replace_table_as(spark.sql("select 2 as a"), names, "plain")
+    assert versions(spark, names) == before
+    assert [r.a for r in spark.table(names.qualified("plain")).collect()] == [1]
+
+
 @pytest.mark.parametrize("buckets", [None, 3])
 def test_consolidate(spark, channels, buckets):
     names = TableNames(schema=f"job_{buckets or 0}")
@@ -124,7 +144,7 @@ def test_parquet_and_json_lines(spark, channels, tmp_path):
     for c in CHANNELS:
         built[c.key].write.parquet(f"{tmp_path}/in/{c.table}")
     read = channels_from_parquet(spark, f"{tmp_path}/in")
-    nested = profile_nested(read, page_events=None)
+    nested = profile_nested(read)
     write_json_lines(serve.profile_json(nested), f"{tmp_path}/out")
     lines = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out").collect()]
     assert {line["email"] for line in lines} == {"ada.byron001@x.org", "b@x.org"}
