@@ -154,7 +154,7 @@ def write_archives(
                 page_id, url, payload, refers_to = row
                 if out is None:
                     name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.warc.zst"
-                    out = system.open_output_stream(f"{place}/{name}")
+                    out = system.open_output_stream(f"{place}/{name}", compression=None)
                     out.write(header)
                     done.append([f"{folder}/{name}", 0, 0])
                 out.write(compressor.compress(
@@ -253,7 +253,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 system, place = _file_system(path)
-                with system.open_input_stream(place) as stream:
+                with system.open_input_stream(place, compression=None) as stream:
                     rows = []
                     for headers, block in read_records(stream):
                         rows.append(parse_record(headers, block))
