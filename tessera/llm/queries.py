@@ -121,8 +121,8 @@ def queries() -> dict[str, Query]:
         "op7_language_id": op7_language_id,
         "op8_warc": op8_warc,
         "op9_suffix_dedup": op9_suffix_dedup,
+        "op10_lm_scoring": op10_lm_scoring,
     }
-    found["op10_lm_scoring"] = op10_lm_scoring
     return {name: _with_package(query) for name, query in found.items()}
 
 
@@ -130,8 +130,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": sql.url_filter(),
         "op3_decontamination": sql.decontamination(),
-        "op4_minhash_dedup": op4_minhash_dedup,
-        "op5_embedding_dedup": op5_embedding_dedup,
+        "op4_minhash_dedup": sql.near_duplicates(),
         "op5_embedding_dedup": sql.embedding_dedup(),
         "op6_mix_sources": sql.mix_sources(),
         "op8_warc": sql.warc(),

@@ -184,3 +184,34 @@ SELECT vec_id, CAST((SELECT count(*) FROM links WHERE a = vec_id) AS BIGINT) AS
        component_id, vec_id = component_id AS kept
 FROM groups
 """
+
+
+def near_duplicates(size: int = 5, percent: int = 75) -> str:
+    """Words hold no blank, so joined words are the shingle."""
+    words = (
+        f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
+        "'[^\\x20\\x09-\\x0D]+')"
+    )
+    return f"""
+WITH RECURSIVE texts AS (SELECT doc_id, {words} AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < {size} THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - {size - 2}),
+      lambda i: array_to_string(words[i:i + {size - 1}], ' ')) END) AS shingle
+  FROM texts
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id
+), links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * c >= {percent} * (p.n + q.n - c)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT doc_id, b FROM reached JOIN links ON other = a
+), groups AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM groups LEFT JOIN sizes USING (doc_id)
+"""

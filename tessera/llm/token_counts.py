@@ -13,7 +13,6 @@ is read once per Python worker; its path must exist on the executors.
 from __future__ import annotations
 
 import json
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -176,8 +175,9 @@ class PrefixCounter:
 
 
 def longest_prefix(counts: np.ndarray, budget: int) -> int:
-    """The longest cut such that it and all shorter ones stay within the budget."""
-    return bisect_right(np.maximum.accumulate(counts).tolist(), budget) - 1
+    """The longest cut within the budget; shorter ones may need more tokens. 0 if none fits."""
+    fits = np.flatnonzero(counts <= budget)
+    return int(fits[-1]) if len(fits) else 0
 
 
 @lru_cache(maxsize=2)
