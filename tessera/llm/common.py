@@ -12,7 +12,10 @@ import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,3 +84,26 @@ def blocked(texts: DataFrame, blocks: int) -> DataFrame:
     """Adds ``block``, chosen by the row's own content, so the same in every reading."""
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     return texts.select(block.alias("block"), "*")
+
+
+def dealt(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, the places that go to it, in order) for every part that gets any."""
+    order = np.argsort(part, kind="stable")
+    found, starts = np.unique(part[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, starts[1:]) if len(found) else [], strict=True)
+
+
+def pack(array: np.ndarray, kind, rising: bool = False) -> bytes:
+    """Numbers in few bytes: differences if they rise, byte by byte of equal weight, compressed."""
+    array = array.astype(kind)
+    if rising:
+        array = np.diff(array, prepend=array.dtype.type(0))
+    planes = array.view(np.uint8).reshape(len(array), array.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(data: bytes, kind, rising: bool = False) -> np.ndarray:
+    kind = np.dtype(kind)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    array = np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(array, dtype=kind) if rising else array

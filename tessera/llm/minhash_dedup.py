@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import keyed_texts, stored
+from tessera.llm.common import dealt, keyed_texts, stored
 from tessera.llm.components import connected
 from tessera.llm.hashing import Hasher, mix
 
@@ -163,12 +163,11 @@ def _packed_pairs(a: np.ndarray, b: np.ndarray, grid: int) -> pa.Table:
     """Pairs dealt to the cells of the grid, a row per cell."""
     cells = mix(a.view(np.uint64)) % np.uint64(grid) * np.uint64(grid)
     cells = (cells + mix(b.view(np.uint64)) % np.uint64(grid)).astype(np.int64)
-    order = np.argsort(cells, kind="stable")
-    found, starts = np.unique(cells[order], return_index=True)
-    parts = np.split(order, starts[1:]) if len(found) else []
+    parts = list(dealt(cells))
     return pa.Table.from_arrays(
-        [pa.array(found.astype(np.int32)), pa.array([a[p].tobytes() for p in parts], pa.binary()),
-         pa.array([b[p].tobytes() for p in parts], pa.binary())],
+        [pa.array([c for c, _ in parts], pa.int32()),
+         pa.array([a[p].tobytes() for _, p in parts], pa.binary()),
+         pa.array([b[p].tobytes() for _, p in parts], pa.binary())],
         names=["cell", "a", "b"],
     )
 

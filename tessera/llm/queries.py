@@ -134,4 +134,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_embedding_dedup": sql.embedding_dedup(),
         "op6_mix_sources": sql.mix_sources(),
         "op8_warc": sql.warc(),
+        "op9_suffix_dedup": sql.suffix_dedup(),
     }

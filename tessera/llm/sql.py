@@ -215,3 +215,42 @@ common AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM groups LEFT JOIN sizes USING (doc_id)
 """
+
+
+def suffix_dedup(length: int = 100) -> str:
+    """Every window of every text by its 64-bit digest; the first of each stays."""
+    return f"""
+WITH docs AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS data FROM documents
+), sized AS (SELECT *, CAST(octet_length(data) AS BIGINT) AS n_bytes FROM docs),
+windows AS (
+  SELECT doc_id, place, hash(array_slice(data, place + 1, place + {length})) AS digest
+  FROM (SELECT doc_id, data, unnest(range(0, greatest(n_bytes - {length - 1}, 0))) AS place
+        FROM sized)
+), again AS (
+  SELECT doc_id, place FROM windows
+  QUALIFY row_number() OVER (PARTITION BY digest ORDER BY doc_id, place) > 1
+), marked AS (
+  SELECT *, coalesce(place > lag(place) OVER (PARTITION BY doc_id ORDER BY place) + {length},
+                     true) AS fresh
+  FROM again
+), spans AS (
+  SELECT doc_id, min(place) AS b, max(place) + {length} AS e
+  FROM (SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY place) AS span
+        FROM marked)
+  GROUP BY doc_id, span
+), pieces AS (
+  SELECT doc_id, b, e, hex(array_slice(data, before + 1, b)) AS piece
+  FROM (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS before FROM spans)
+  JOIN sized USING (doc_id)
+), removed AS (
+  SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans,
+         string_agg(piece, '' ORDER BY b) AS kept, max(e) AS rest
+  FROM pieces GROUP BY doc_id
+)
+SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || hex(array_slice(data, coalesce(rest, 0) + 1, n_bytes))))
+         AS kept_sha256
+FROM sized LEFT JOIN removed USING (doc_id)
+"""
