@@ -618,6 +618,11 @@ ORDER BY email LIMIT 500""",
             f"""SELECT {FLAT} FROM profile WHERE lower(email) = 'customer.000000101@example.com'
 ORDER BY email LIMIT 1""",
         ),
+        "profile_stamp": _with(
+            "ids",
+            "SELECT count(*) AS customers, cast(1 as bigint) AS stamps, "
+            "cast(0 as bigint) AS missing FROM ids",
+        ),
         "partner_event_pages": _with(
             "partner",
             "SELECT email, count(*) AS events, true AS bounded, "
