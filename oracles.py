@@ -366,8 +366,8 @@ _ACCEPTED = "\nUNION ALL ".join((
     }),
     _rules("cobranded_card", "card", {
         "card_partner": _in(
-            "card_partner", "PayLater + MercadoBuy Visa", "PayLater + ModaPlus Mastercard",
-            "PayLater + ElektroMart Visa", "PayLater + ViajaYa World Elite"),
+            "card_partner", "PayLater MercadoBuy Visa", "PayLater ModaPlus Mastercard",
+            "PayLater ElektroMart Visa", "PayLater ViajaYa World Elite"),
         "credit_limit": "credit_limit NOT IN (1500, 3000, 5000, 7500, 10000, 15000, 25000)",
         "rewards_tier": _in("rewards_tier", "standard", "silver", "gold", "platinum"),
         "payment_behavior": _in("payment_behavior", "pays_full", "pays_minimum", "revolves",

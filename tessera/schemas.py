@@ -259,8 +259,8 @@ DOMAINS = {
     },
     "cobranded_card": {
         "card_partner": (
-            "PayLater + MercadoBuy Visa", "PayLater + ModaPlus Mastercard",
-            "PayLater + ElektroMart Visa", "PayLater + ViajaYa World Elite",
+            "PayLater MercadoBuy Visa", "PayLater ModaPlus Mastercard",
+            "PayLater ElektroMart Visa", "PayLater ViajaYa World Elite",
         ),
         "credit_limit": (1500, 3000, 5000, 7500, 10000, 15000, 25000),
         "rewards_tier": ("standard", "silver", "gold", "platinum"),

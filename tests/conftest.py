@@ -59,7 +59,7 @@ DEFAULTS = {
     "annual_income": Decimal("50000.00"),
     "kyc_status": "passed",
     "applied_date": dt.date(2025, 9, 9),
-    "card_partner": "PayLater + MercadoBuy Visa",
+    "card_partner": "PayLater MercadoBuy Visa",
     "credit_limit": Decimal("5000.00"),
     "current_balance": Decimal("1000.00"),
     "utilization_pct": Decimal("20.00"),
