@@ -250,20 +250,24 @@ def near_duplicates(
         _sketches(shingle),
         "doc_id long, order_id long, text_key long, n_shingles long, node long, signature binary",
     ))
-    known = sketches.filter("node is not null")
-    rows = known.select("node", "signature").mapInArrow(_buckets, "bucket long, node long")
+    # Equal sets are combined before the shuffle, so that copies weigh nothing from here on.
+    classes = stored(sketches.filter("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.min("signature").alias("signature"),
+        F.min(F.struct("order_id", "text_key")).alias("holder"),
+    ))
+    rows = classes.select("node", "signature").mapInArrow(_buckets, "bucket long, node long")
     shared = rows.groupBy("bucket").agg(
         F.min("node").alias("first"), F.max("node").alias("last")
     ).filter("first != last")
-    members = stored(rows.join(shared.select("bucket", "first"), "bucket").distinct())
+    members = stored(rows.join(shared.select("bucket", "first"), "bucket"))
     star = members.filter("node != first").select(
         F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")
     ).distinct()
 
     # A text and the signature of each class that shares a bucket.
-    holder = known.join(members.select("node").distinct(), "node", "left_semi").groupBy(
-        "node"
-    ).agg(F.min(F.struct("order_id", "text_key")).alias("row")).select("node", "row.*")
+    holder = classes.join(members.select("node").distinct(), "node", "left_semi").select(
+        "node", "holder.*"
+    )
     texts = stored(_texts_of(holder, docs, shingle))
 
     star = stored(star)
@@ -299,8 +303,7 @@ def near_duplicates(
     if not more.isEmpty():
         components = connected(links.unionByName(more))
     # The class of a set, its component of classes, and the smallest id in there.
-    classes = known.groupBy("node").agg(F.min("doc_id").alias("least"))
-    grouped = classes.join(components, "node", "left").select(
+    grouped = classes.select("node", "least").join(components, "node", "left").select(
         "node", "least", F.coalesce("component", "node").alias("component")
     )
     smallest = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
