@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import block_count, shuffle_partitions, stored
+from tessera.llm.common import block_count, dealt, pack, shuffle_partitions, stored, unpack
 from tessera.llm.hashing import mix
 
 ORDER = 5
@@ -46,6 +46,7 @@ MASK = (1 << BITS) - 1
 END_OF_TEXT = b"\n"  # no word holds white space
 BLOCK_BYTES = 8 << 20
 CHUNK_BYTES = 1 << 20
+NOWHERE = np.empty(0, np.int64)
 
 
 def lowered(text: str | None) -> bytes:
@@ -129,6 +130,9 @@ class Block:
         keys = np.array(_word_keys(words), np.uint64)
         sorting = np.argsort(keys)
         self.words = keys[sorting]
+        places = np.empty(len(keys), np.int64)
+        places[sorting] = np.arange(len(keys))
+        self.places = dict(zip(words, places.tolist(), strict=True))
         self.word_counts = np.fromiter(words.values(), np.int64, len(words))[sorting]
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for learn in (True, False):
@@ -138,6 +142,11 @@ class Block:
                 found.append((grams, counts if learn else np.zeros_like(counts)))
         self.grams, self.gram_counts = merged([g for g, _ in found], [c for _, c in found])
 
+    def dealt(self, parts: int) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+        """The places of the words, and of the grams, that go to each part."""
+        return (dict(dealt(_word_part(self.words, parts))),
+                dict(dealt(_gram_part(self.grams, parts))))
+
 
 def _word_part(keys: np.ndarray, parts: int) -> np.ndarray:
     return (keys >> np.uint64(13)) % np.uint64(parts)
@@ -152,23 +161,19 @@ def _trie_part(grams: np.ndarray, parts: int) -> np.ndarray:
     return mix((grams >> BITS & (1 << 2 * BITS) - 1).astype(np.uint64)) % np.uint64(parts)
 
 
-def _binary(array: np.ndarray, kind) -> bytes:
-    return array.astype(kind).tobytes()
-
-
 def _features(order: int, parts: int):
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         own = Block(table, order, count=True)
-        words, grams = _word_part(own.words, parts), _gram_part(own.grams, parts)
+        words, grams = own.dealt(parts)
         rows = []
-        for part in range(parts):
-            w, g = words == part, grams == part
-            if w.any() or g.any():
-                rows.append((
-                    part, block, own.words[w].tobytes(), _binary(own.word_counts[w], np.int64),
-                    own.grams[g].tobytes(), _binary(own.gram_counts[g], np.int64),
-                ))
+        for part in sorted(words.keys() | grams.keys()):
+            w, g = words.get(part, NOWHERE), grams.get(part, NOWHERE)
+            rows.append((
+                part, block, pack(own.words[w], np.uint64, rising=True),
+                pack(own.word_counts[w], np.int64),
+                pack(own.grams[g], np.int64, rising=True), pack(own.gram_counts[g], np.int64),
+            ))
         return _packed(FEATURES, rows)
 
     return run
@@ -193,7 +198,9 @@ def _packed(names: tuple[str, ...], rows: list[tuple]) -> pa.Table:
 
 
 def _arrays(table: pa.Table, name: str, kind=np.int64) -> list[np.ndarray]:
-    return [np.frombuffer(b, kind) for b in table.column(name).to_pylist()]
+    """Words and grams are sorted in every row."""
+    rising = name in ("words", "grams")
+    return [unpack(b, kind, rising) for b in table.column(name).to_pylist()]
 
 
 def _totals(parts: int):
@@ -202,10 +209,9 @@ def _totals(parts: int):
     def run(table: pa.Table) -> pa.Table:
         origin = table.column("part")[0].as_py()
         grams, counts = merged(_arrays(table, "grams"), _arrays(table, "gram_counts"))
-        target = _trie_part(grams, parts)
         return _packed(TOTALS, [
-            (int(p), origin, grams[target == p].tobytes(), counts[target == p].tobytes())
-            for p in np.unique(target)
+            (part, origin, pack(grams[at], np.int64, rising=True), pack(counts[at], np.int64))
+            for part, at in dealt(_trie_part(grams, parts))
         ])
 
     return run
@@ -298,7 +304,8 @@ def _coded(pairs: np.ndarray, order: int):
         grams, counts = merged(own, _arrays(table, "gram_counts"))
         lengths = code_lengths(grams, counts, pairs, order)
         return _packed(LENGTHS, [
-            (origin, g.tobytes(), _binary(lengths[np.searchsorted(grams, g)], np.float32))
+            (origin, pack(g, np.int64, rising=True),
+             pack(lengths[np.searchsorted(grams, g)], np.float32))
             for origin, g in zip(origins, own, strict=True)
         ])
 
@@ -321,8 +328,8 @@ def _values(features: pa.Table, lengths: pa.Table) -> pa.Table:
         features.column("block").to_pylist(), words, _arrays(features, "grams"), strict=True
     )):
         rows.append((
-            block, part, totals[np.searchsorted(keys, w)].tobytes(),
-            values[np.searchsorted(grams, g)].tobytes(),
+            block, part, pack(totals[np.searchsorted(keys, w)], np.int64),
+            pack(values[np.searchsorted(grams, g)], np.float32),
             0 if i else int(totals.sum()), 0 if i else int((totals > 0).sum()),
         ))
     return _packed(VALUES, rows)
@@ -348,21 +355,16 @@ def _scores(order: int, parts: int, train_tokens: int, distinct: int):
         block = Block(docs, order, count=True)
         totals = np.zeros(len(block.words), np.int64)
         lengths = np.zeros(len(block.grams))
-        words, grams = _word_part(block.words, parts), _gram_part(block.grams, parts)
+        words, grams = block.dealt(parts)
         for row in values.to_pylist():
-            totals[words == row["part"]] = np.frombuffer(row["word_totals"], np.int64)
-            lengths[grams == row["part"]] = np.frombuffer(row["lengths"], np.float32)
+            totals[words.get(row["part"], NOWHERE)] = unpack(row["word_totals"], np.int64)
+            lengths[grams.get(row["part"], NOWHERE)] = unpack(row["lengths"], np.float32)
         # Logarithms are taken once per count, so that equal counts give equal terms.
         terms = np.log10(totals + 0.5)
-        places: dict[bytes, int] = {}
         tokens, known, base = [], [], []
         for text in block.texts:
             own = [*text.split(), END_OF_TEXT]
-            for word in own:
-                if word not in places:
-                    key = np.uint64(xxhash.xxh3_64_intdigest(word))
-                    places[word] = int(np.searchsorted(block.words, key))
-            at = np.fromiter(map(places.__getitem__, own), np.int64, len(own))
+            at = np.fromiter(map(block.places.__getitem__, own), np.int64, len(own))
             tokens.append(len(own))
             known.append(int((totals[at] > 0).sum()))
             base.append(float(terms[at].sum() - len(own) * room))
