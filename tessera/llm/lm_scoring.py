@@ -371,7 +371,9 @@ def _scores(order: int, parts: int, train_tokens: int, distinct: int):
         scores: list[float] = []
         for chunk in _chunks(block.texts):
             found, starts = grams_of(chunk, order)
-            each = lengths[np.searchsorted(block.grams, found)]
+            by_gram = np.argsort(found)  # sorted, they are looked up in one sweep
+            each = np.empty(len(found))
+            each[by_gram] = lengths[np.searchsorted(block.grams, found[by_gram])]
             scores.extend(np.add.reduceat(each, starts).tolist())
         columns = (block.ids, block.learn, tokens, known, [train_tokens] * len(tokens), base, scores)
         return pa.Table.from_arrays(
