@@ -11,7 +11,8 @@ and visits fewer cells.
 
 The codebooks are fitted by k-means on the driver, on at most ``SAMPLE_ROWS`` vectors chosen by a
 hash; every vector is indexed. The number of codes grows with the number of vectors, so that a
-cell stays near ``CELL_ROWS`` per label. Large cells are cut into blocks, and blocks of queries
+cell stays near ``CELL_ROWS`` per label: finer cells save comparisons, which are cheap, and
+cost visits, which are rows. Large cells are cut into blocks, and blocks of queries
 meet blocks of the cell; links are counted where they are found and travel as sums and as the
 spanning edges of a block, never as all pairs.
 
@@ -37,7 +38,7 @@ from tessera.llm.common import stored
 from tessera.llm.components import connected
 
 COSINE = 0.98
-CELL_ROWS = 64
+CELL_ROWS = 256
 MAX_CODES = 256
 SAMPLE_ROWS = 20_000
 ROUNDS = 12
