@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the columns of
 ``documents``; the last returns the mix. What each decides takes effect on what the next reads:
 
-1. ``language_id``: documents without a letter (and null texts) go; a missing ``lang`` is filled
-   with the prediction.
+1. ``language_id``: documents without a letter (and null texts) go, no others; a missing
+   ``lang`` is filled with the prediction, which is ``und`` where no row has a label.
 2. ``minhash_dedup``: of each group of near duplicates the document with the smallest id stays.
 3. ``suffix_dedup``: bytes of passages of 100 bytes that also start earlier are removed from
    the texts; documents of which nothing is left go.
@@ -34,8 +34,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_find_package(spark)
     learn = ~language_id.held_out(F.col("doc_id"), 4, 2)
-    judged = language_id.identify_languages(docs, learn, carry=COLUMNS[1:])
-    return judged.filter(F.col("lang_pred") != language_id.UNDETERMINED).withColumn(
+    judged = language_id.identify_languages(
+        docs, learn, carry=COLUMNS[1:], letter_col="has_letter"
+    )
+    return judged.filter("has_letter").withColumn(
         "lang", F.coalesce("lang", "lang_pred")
     ).select(*COLUMNS)
 

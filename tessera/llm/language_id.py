@@ -8,7 +8,7 @@ longer than ``PIECE`` bytes are read in pieces of that length.
 
 The network is trained in numpy by backpropagation through time, on the driver, from a bounded
 sample: about ``sample_rows`` labelled rows for each of at most ``MAX_LANGUAGES`` languages,
-chosen by a hash of the id, and of each at most ``WORDS_PER_ROW`` words drawn from its whole
+chosen by a hash of id and text among distinct ones, and of each at most ``WORDS_PER_ROW`` words drawn from its whole
 text. Prediction reads the whole text of every row and nothing but the text.
 
 Null texts, and texts without a letter, are ``und`` with score 0, as is everything when there
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
@@ -262,20 +262,28 @@ def has_letter(text: str | None) -> bool:
 def sample_of(
     df: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str, rows: int
 ) -> list[tuple[str, bytes]]:
-    """About ``rows`` rows of each language, at most twice as many, by a hash of the id."""
+    """About ``rows`` distinct rows of each language, at least one and at most twice as many,
+    by a hash of id and text."""
     named = df.filter(learn).select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
-    ).filter("lang is not null and text is not null")
-    counts = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    fractions = {r["lang"]: min(1.0, rows / r["count"]) for r in counts.toLocalIterator()}
+    ).filter("lang is not null and text is not null").withColumn("key", F.xxhash64("id", "text"))
+    draw = F.pmod("key", F.lit(1 << 30)) / float(1 << 30)
+    counts = named.groupBy("lang").agg(
+        F.approx_count_distinct("key").alias("count"), F.min(draw).alias("least")
+    ).orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    fractions = {
+        r["lang"]: max(r["least"], min(1.0, rows / max(1, r["count"])))
+        for r in counts.toLocalIterator()
+    }
     if not fractions:
         return []
     fraction = F.create_map(*(F.lit(x) for pair in fractions.items() for x in pair))
-    draw = F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 30)) / float(1 << 30)
     chosen = named.withColumn("fraction", F.element_at(fraction, F.col("lang"))).filter(
-        draw < F.col("fraction")
-    ).limit(2 * rows * len(fractions))
+        draw <= F.col("fraction")
+    ).dropDuplicates(["lang", "key"]).withColumn(
+        "place", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "key"))
+    ).filter(F.col("place") <= 2 * rows)
     return [(r["lang"], r["text"].encode("utf-8")) for r in chosen.toLocalIterator()]
 
 
@@ -287,9 +295,11 @@ def identify_languages(
     lang_col: str = "lang",
     sample_rows: int = SAMPLE_ROWS,
     carry: tuple[str, ...] = (),
+    letter_col: str | None = None,
 ) -> DataFrame:
-    """(doc_id, lang_pred, score) for every row, with the columns of ``carry`` behind them.
-    ``learn`` says which rows may be learned from."""
+    """(doc_id, lang_pred, score) for every row, with the columns of ``carry`` behind them and,
+    if ``letter_col`` names it, whether the text has a letter. ``learn`` says which rows may be
+    learned from."""
     network = train(sample_of(df, learn, id_col, text_col, lang_col, sample_rows))
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
@@ -306,18 +316,22 @@ def identify_languages(
                 languages, scores = zip(*judged, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(languages, pa.string()),
-                     pa.array(scores, pa.float64()), *part.columns[2:]],
-                    names=["doc_id", "lang_pred", "score", *part.schema.names[2:]],
+                     pa.array(scores, pa.float64()), pa.array(map(has_letter, texts), pa.bool_()),
+                     *part.columns[2:]],
+                    names=["doc_id", "lang_pred", "score", "letter", *part.schema.names[2:]],
                 )
 
     carried = "".join(
         f", carried_{i} {rows.schema[f'carried_{i}'].dataType.simpleString()}"
         for i in range(len(carry))
     )
-    judged = rows.mapInArrow(run, "doc_id long, lang_pred string, score double" + carried)
+    judged = rows.mapInArrow(
+        run, "doc_id long, lang_pred string, score double, letter boolean" + carried
+    )
     return judged.select(
         "doc_id", "lang_pred", "score",
         *(F.col(f"carried_{i}").alias(c) for i, c in enumerate(carry)),
+        *([F.col("letter").alias(letter_col)] if letter_col else []),
     )
 
 

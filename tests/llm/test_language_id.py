@@ -69,6 +69,13 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_the_sample_draws_on_id_and_text(docs):
+    rows = [(None, f"word{i} abc", "de") for i in range(300)] + [(7, "same text", "en")] * 300
+    drawn = L.sample_of(docs(rows), F.lit(True), "doc_id", "text", "lang", 20)
+    assert 5 <= sum(language == "de" for language, _ in drawn) <= 40
+    assert sum(language == "en" for language, _ in drawn) == 1
+
+
 def test_edges(docs, rows_of):
     rows = [(1, "guten tag", "de"), (2, "good day", "en"), (3, None, "en"), (4, "12 !", "en"),
             (5, "", None), (None, "good", None), (2, "good day", "en"), (6, "x" * 50_000, None)]

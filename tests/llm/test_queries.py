@@ -110,3 +110,23 @@ def test_pipeline_on_awkward_rows(spark, tmp_path):
     assert {r["doc_id"] for r in got} <= {1, None}
     docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_language_stage_keeps_what_has_a_letter(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = ["guten tag", "12 !", None, "", "good day", "é"]
+    unlabelled = spark.createDataFrame([(i, t, None, "a", 1) for i, t in enumerate(texts)], schema)
+    got = corpus_pipeline.identify_languages(spark, unlabelled, SF).collect()
+    assert sorted((r["doc_id"], r["lang"]) for r in got) == [(0, "und"), (4, "und"), (5, "und")]
+    labelled = spark.createDataFrame([(i, t, "und", "a", 1) for i, t in enumerate(texts)], schema)
+    got = corpus_pipeline.identify_languages(spark, labelled, SF).collect()
+    assert sorted(r["doc_id"] for r in got) == [0, 4, 5]
+
+
+def test_pipeline_without_labels(spark, tmp_path):
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(i, f"text number {'abcdefgh'[i]} of its own", None, "a", 1) for i in range(8)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in got} == set(range(8)) and {r["lang"] for r in got} == {"und"}
