@@ -7,9 +7,11 @@ occurs again need not be read again: tasks label distinct words and add up by oc
 longer than ``PIECE`` bytes are read in pieces of that length.
 
 The network is trained in numpy by backpropagation through time, on the driver, from a bounded
-sample: about ``sample_rows`` labelled rows for each of at most ``MAX_LANGUAGES`` languages,
-chosen by a hash of id and text among distinct ones, and of each at most ``WORDS_PER_ROW`` words drawn from its whole
-text. Prediction reads the whole text of every row and nothing but the text.
+sample of every language: about ``sample_rows`` labelled rows of each, chosen by a hash of id and
+text among distinct rows, and of each row at most ``WORDS_PER_ROW`` words drawn from its whole
+text. The languages share about ``SAMPLE_WORDS`` words, but none has a share of less than
+``LEAST_WORDS``: of many languages, rows give fewer words, and then fewer rows are drawn.
+Prediction reads the whole text of every row and nothing but the text.
 
 Null texts, and texts without a letter, are ``und`` with score 0, as is everything when there
 is nothing to learn from. Ties go to the first language by name. Repeated rows are judged each
@@ -35,9 +37,13 @@ BATCH = 256
 RATE = 0.02
 SAMPLE_ROWS = 400
 WORDS_PER_ROW = 300
-MAX_LANGUAGES = 200
+MANY_LANGUAGES = 50  # with more, the network has twice the states and three times the steps
+SAMPLE_WORDS = 1_000_000
+LEAST_WORDS = 200
 CACHED_WORDS = 800_000  # words whose labels a task remembers before it starts afresh
+CACHED_LABELS = 1 << 25  # and at most so many labels, for many languages
 LABEL_BATCH = 4096
+LABELS_AT_ONCE = 1 << 24  # positions times languages
 ASCII_LETTER = re.compile("[A-Za-z]")
 
 
@@ -163,6 +169,10 @@ def train(samples: list[tuple[str, bytes]], steps: int = STEPS, seed: int = 7) -
     languages = sorted({language for language, _ in samples})
     if not languages:
         return None
+    numbers = {language: i for i, language in enumerate(languages)}
+    many = len(languages) > MANY_LANGUAGES
+    hidden, steps = (2 * HIDDEN, 3 * steps) if many else (HIDDEN, steps)
+    batch = min(BATCH, max(1, LABELS_AT_ONCE // ((PIECE + 1) * len(languages))))
     random = np.random.default_rng(seed)
     by_length: dict[int, tuple[list[bytes], list[int]]] = {}
     drawn: list[list[bytes]] = [[] for _ in languages]
@@ -170,7 +180,7 @@ def train(samples: list[tuple[str, bytes]], steps: int = STEPS, seed: int = 7) -
         words = pieces(text)
         if len(words) > WORDS_PER_ROW:
             words = [words[i] for i in random.choice(len(words), WORDS_PER_ROW, replace=False)]
-        drawn[languages.index(language)].extend(words)
+        drawn[numbers[language]].extend(words)
     most = max(map(len, drawn))
     for number, words in enumerate(drawn):  # every language as often as the most frequent
         again = random.choice(len(words), most - len(words)) if words else []
@@ -185,11 +195,11 @@ def train(samples: list[tuple[str, bytes]], steps: int = STEPS, seed: int = 7) -
         return (random.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
 
     def direction():
-        inputs = 0.3 * random.standard_normal((256, 3 * HIDDEN))
-        return Direction(inputs.astype(np.float32), weights(HIDDEN, 3 * HIDDEN))
+        inputs = 0.3 * random.standard_normal((256, 3 * hidden))
+        return Direction(inputs.astype(np.float32), weights(hidden, 3 * hidden))
 
     network = Network(languages, direction(), direction(),
-                      weights(2 * HIDDEN, len(languages)), np.zeros(len(languages), np.float32))
+                      weights(2 * hidden, len(languages)), np.zeros(len(languages), np.float32))
     lengths = sorted(by_length)
     # Longer words have more positions; each position should count alike.
     share = np.array([len(by_length[n][0]) * (n + 1) for n in lengths], float)
@@ -198,7 +208,7 @@ def train(samples: list[tuple[str, bytes]], steps: int = STEPS, seed: int = 7) -
     squares = [np.zeros_like(w) for w in network._weights()]
     for step in range(1, steps + 1):
         inputs, labels = data[lengths[random.choice(len(lengths), p=share / share.sum())]]
-        rows = random.integers(0, len(labels), BATCH)
+        rows = random.integers(0, len(labels), batch)
         found = network.gradients(inputs[rows], labels[rows])
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
         for weight, slope, mean, square in zip(
@@ -216,6 +226,9 @@ class Labeller:
 
     def __init__(self, network: Network):
         self.network = network
+        many = len(network.languages)
+        self.batch = min(LABEL_BATCH, max(1, LABELS_AT_ONCE // ((PIECE + 1) * many)))
+        self.cached = min(CACHED_WORDS, CACHED_LABELS // many)
         self.places: dict[bytes, int] = {}
         self.sums = np.zeros((0, len(network.languages)), np.float32)
 
@@ -226,7 +239,7 @@ class Labeller:
         rows, at = [], 0
         while at < len(fresh):
             end = at
-            while end < len(fresh) and end - at < LABEL_BATCH and len(fresh[end]) == len(fresh[at]):
+            while end < len(fresh) and end - at < self.batch and len(fresh[end]) == len(fresh[at]):
                 end += 1
             rows.append(self.network.label(_matrix(fresh[at:end])).sum(axis=0))
             at = end
@@ -236,7 +249,7 @@ class Labeller:
 
     def judge(self, texts: list[str | None]) -> list[tuple[str, float]]:
         words = [pieces(t.encode("utf-8")) if has_letter(t) else [] for t in texts]
-        if len(self.places) > CACHED_WORDS:
+        if len(self.places) > self.cached:
             self.places.clear()
             self.sums = self.sums[:0]
         self.learn(set().union(*words))
@@ -259,6 +272,15 @@ def has_letter(text: str | None) -> bool:
     )
 
 
+def drawn_words(text: str, most: int, seed: int) -> bytes:
+    """At most so many words of the whole text."""
+    words = pieces(text.encode("utf-8"))
+    if len(words) > most:
+        random = np.random.default_rng(seed % (1 << 64))
+        words = [words[i] for i in random.choice(len(words), most, replace=False)]
+    return b" ".join(words)
+
+
 def sample_of(
     df: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str, rows: int
 ) -> list[tuple[str, bytes]]:
@@ -271,20 +293,24 @@ def sample_of(
     draw = F.pmod("key", F.lit(1 << 30)) / float(1 << 30)
     counts = named.groupBy("lang").agg(
         F.approx_count_distinct("key").alias("count"), F.min(draw).alias("least")
-    ).orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    ).collect()
+    if not counts:
+        return []
+    share = max(LEAST_WORDS, SAMPLE_WORDS // len(counts))
+    rows = max(1, min(rows, share))
     fractions = {
-        r["lang"]: max(r["least"], min(1.0, rows / max(1, r["count"])))
-        for r in counts.toLocalIterator()
+        r["lang"]: max(r["least"], min(1.0, rows / max(1, r["count"]))) for r in counts
     }
-    if not fractions:
-        return []
     fraction = F.create_map(*(F.lit(x) for pair in fractions.items() for x in pair))
     chosen = named.withColumn("fraction", F.element_at(fraction, F.col("lang"))).filter(
         draw <= F.col("fraction")
     ).dropDuplicates(["lang", "key"]).withColumn(
         "place", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "key"))
     ).filter(F.col("place") <= 2 * rows)
-    return [(r["lang"], r["text"].encode("utf-8")) for r in chosen.toLocalIterator()]
+    each = min(WORDS_PER_ROW, max(1, share // rows))
+    return [
+        (r["lang"], drawn_words(r["text"], each, r["key"])) for r in chosen.toLocalIterator()
+    ]
 
 
 def identify_languages(

@@ -76,6 +76,18 @@ def test_the_sample_draws_on_id_and_text(docs):
     assert sum(language == "en" for language, _ in drawn) == 1
 
 
+def test_every_language_is_learned(docs, rows_of):
+    rows = [(i, f"{chr(0x4E00 + i % 230)} " * 3, f"l{i % 230:03d}") for i in range(460)]
+    rows += [(1000 + i, "abc abc", "common") for i in range(40)]
+    table = docs(rows)
+    drawn = L.sample_of(table, F.lit(True), "doc_id", "text", "lang", 10)
+    assert {language for language, _ in drawn} == {r[2] for r in rows}
+    network = L.train(drawn, steps=5)
+    assert network.languages == sorted({r[2] for r in rows})
+    small = L.drawn_words("a bb ccc " * 100, 7, -5)
+    assert len(small.split()) == 7 and small == L.drawn_words("a bb ccc " * 100, 7, -5)
+
+
 def test_edges(docs, rows_of):
     rows = [(1, "guten tag", "de"), (2, "good day", "en"), (3, None, "en"), (4, "12 !", "en"),
             (5, "", None), (None, "good", None), (2, "good day", "en"), (6, "x" * 50_000, None)]
