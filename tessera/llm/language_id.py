@@ -9,7 +9,7 @@ longer than ``PIECE`` bytes are read in pieces of that length.
 The network is trained in numpy by backpropagation through time, on the driver, from a bounded
 sample of every language: about ``sample_rows`` labelled rows of each, chosen by a hash of id and
 text among distinct rows, and of each row at most ``WORDS_PER_ROW`` words drawn from its whole
-text. The languages share about ``SAMPLE_WORDS`` words, but none has a share of less than
+text, in the tasks, so that only those words come to the driver. The languages share about ``SAMPLE_WORDS`` words, but none has a share of less than
 ``LEAST_WORDS``: of many languages, rows give fewer words, and then fewer rows are drawn.
 Prediction reads the whole text of every row and nothing but the text.
 
@@ -302,15 +302,27 @@ def sample_of(
         r["lang"]: max(r["least"], min(1.0, rows / max(1, r["count"]))) for r in counts
     }
     fraction = F.create_map(*(F.lit(x) for pair in fractions.items() for x in pair))
+    each = min(WORDS_PER_ROW, max(1, share // rows))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [  # one text as a Python string at a time
+                drawn_words(text.as_py(), each, key.as_py())
+                for text, key in zip(batch.column(2), batch.column(1), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(found, pa.binary())], names=["lang", "key", "words"]
+            )
+
     chosen = named.withColumn("fraction", F.element_at(fraction, F.col("lang"))).filter(
         draw <= F.col("fraction")
+    ).select("lang", "key", "text").mapInArrow(
+        words, "lang string, key long, words binary"
     ).dropDuplicates(["lang", "key"]).withColumn(
         "place", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "key"))
     ).filter(F.col("place") <= 2 * rows)
     each = min(WORDS_PER_ROW, max(1, share // rows))
-    return [
-        (r["lang"], drawn_words(r["text"], each, r["key"])) for r in chosen.toLocalIterator()
-    ]
+    return [(r["lang"], bytes(r["words"])) for r in chosen.toLocalIterator()]
 
 
 def identify_languages(

@@ -88,6 +88,13 @@ def test_every_language_is_learned(docs, rows_of):
     assert len(small.split()) == 7 and small == L.drawn_words("a bb ccc " * 100, 7, -5)
 
 
+def test_only_drawn_words_come_to_the_driver(docs):
+    rows = [(1, "wort " * 50_000, "de"), (2, "x" * 500_000, "en")]
+    drawn = dict(L.sample_of(docs(rows), F.lit(True), "doc_id", "text", "lang", 20))
+    assert drawn["de"].split() == [b"wort"] * L.WORDS_PER_ROW
+    assert len(drawn["en"]) < L.WORDS_PER_ROW * (L.PIECE + 1)
+
+
 def test_edges(docs, rows_of):
     rows = [(1, "guten tag", "de"), (2, "good day", "en"), (3, None, "en"), (4, "12 !", "en"),
             (5, "", None), (None, "good", None), (2, "good day", "en"), (6, "x" * 50_000, None)]
