@@ -12,8 +12,9 @@ searched, and listed nowhere. Repeated items are one item by id. Repeated docume
 each for itself. Columns are taken by name, so others in the tables do not matter.
 
 The benchmark is the query set. It is read in blocks of about ``block_bytes`` of text; each
-block is broadcast, and the documents stream through one search per block, so what a task
-holds at once is bounded, and usually there is one block.
+block is broadcast, and the documents stream through one search per block. Between two blocks
+the documents, with what was found, are written to the shared folder, so a task holds the search
+of one block alone; usually there is one block, and nothing is written.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import stored
+
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -148,7 +151,10 @@ def find_contamination(
     )
     schema = rows.schema
     longs, strings = pa.list_(pa.int64()), pa.list_(pa.string())
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
+    for number, block in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes)):
+        if number:
+            rows = stored(rows)
+            held.destroy()  # the block before
         held = session.sparkContext.broadcast(block)  # about block_bytes
 
         def search(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:

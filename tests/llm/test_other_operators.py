@@ -122,6 +122,16 @@ def test_decontamination_is_brute_force(spark, docs, block_bytes):
     assert (nothing["n_words"], nothing["n_hit"], nothing["items"]) == (2, 0, [])
 
 
+def test_decontamination_has_one_search_at_a_time(spark, docs):
+    items = spark.createDataFrame([(i, f"a{i} b c") for i in range(4)], "item_id long, text string")
+    found = decontamination.find_contamination(docs([(1, "x a2 b c y a0 b c")]), items,
+                                               block_bytes=1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    row = found.first()
+    assert (row["n_words"], row["n_hit"], row["items"]) == (8, 6, ["0", "2"])
+
+
 def mix_rows(n=400):
     rnd = random.Random(6)
     sources = [*["hot"] * 5, "b", "ü", "z", None]
