@@ -7,18 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import functions as F
 
 from tessera.llm import (
     decontamination,
     embedding_dedup,
+    filter_audit,
     language_id,
     lm_scoring,
     minhash_dedup,
     mixing,
+    prefix_trie,
     sql,
     suffix_dedup,
     token_counts,
+    toxicity,
     url_filters,
     warc,
 )
@@ -99,6 +101,24 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = language_id.held_out(F.col("doc_id"), 4, 2)
+    scored = toxicity.toxicity(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), ~held_out
+    )
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"), branch=(100, 6))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -122,6 +142,9 @@ def queries() -> dict[str, Query]:
         "op8_warc": op8_warc,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_toxicity": op12_toxicity,
+        "op13_prefix_trie": op13_prefix_trie,
     }
     return {name: _with_package(query) for name, query in found.items()}
 
@@ -135,4 +158,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_mix_sources": sql.mix_sources(),
         "op8_warc": sql.warc(),
         "op9_suffix_dedup": sql.suffix_dedup(),
+        "op11_filter_audit": sql.filter_audit(),
+        "op13_prefix_trie": sql.prefix_trie(),
     }

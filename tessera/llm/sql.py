@@ -254,3 +254,117 @@ SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
          AS kept_sha256
 FROM sized LEFT JOIN removed USING (doc_id)
 """
+
+
+def filter_audit(filters: str = "ABCDE") -> str:
+    """Every order applied to every mask of a part: at most 32 masks by 120 orders."""
+    letters = ", ".join(f"('{f}', {1 << i})" for i, f in enumerate(filters))
+    tables = ", ".join(f"letters l{i}" for i in range(len(filters)))
+    names = " || ".join(f"l{i}.letter" for i in range(len(filters)))
+    bits = "[" + ", ".join(f"l{i}.bit" for i in range(len(filters))) + "]"
+    differ = " AND ".join(
+        f"l{i}.letter <> l{j}.letter" for i in range(len(filters)) for j in range(i)
+    )
+    counts = "coalesce(CAST(sum({}) AS BIGINT), 0)"
+    removed = "mask & bit <> 0 AND mask & before = 0"
+    return f"""
+WITH letters(letter, bit) AS (VALUES {letters}),
+orders AS (
+  SELECT {names} AS filter_order, {bits} AS bits FROM {tables} WHERE {differ}
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit,
+         coalesce(list_sum(bits[1:step - 1]), 0) AS before, list_sum(bits[1:step]) AS upto
+  FROM orders, range(1, {len(filters) + 1}) r(step)
+), marks AS (
+  SELECT doc_id, max(CAST(coalesce(quality = 1, FALSE) AS INT)) AS good,
+         max(CAST(coalesce(toxic = 1, FALSE) AS INT)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), read AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), firsts AS (SELECT body, min(doc_id) AS first_id FROM read GROUP BY body),
+masks AS (
+  SELECT part, doc_id,
+         CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g')))
+                     > 3 * length(body) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS mask
+  FROM read JOIN firsts USING (body)
+), cells AS (
+  SELECT part, mask, count(*) AS docs, sum(coalesce(good, 0)) AS good,
+         sum(coalesce(toxic, 0)) AS toxic
+  FROM masks LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+), audited AS (
+  SELECT part, filter_order, step, bit,
+         {counts.format("docs * CAST(mask & upto = 0 AS INT)")} AS kept,
+         {counts.format(f"docs * CAST({removed} AS INT)")} AS removed,
+         {counts.format("docs * CAST(mask & bit <> 0 AND mask & before <> 0 AS INT)")}
+           AS redundant,
+         {counts.format("docs * CAST(mask = bit AS INT)")} AS unique_fails,
+         {counts.format(f"good * CAST({removed} AS INT)")} AS good_lost,
+         {counts.format(f"toxic * CAST({removed} AS INT)")} AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit, before, upto
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails,
+       good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM audited
+"""
+
+
+def prefix_trie(group: int = 100, limit: int = 6) -> str:
+    """Nodes as lists of turns; a subtree is every node whose list begins with the node's."""
+    # The CRC-32 bit by bit; DuckDB has no function for it.
+    bits = (
+        "list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), "
+        "CAST(flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), "
+        "lambda ch: [CAST(ord(ch) + 256 AS UBIGINT), 0, 0, 0, 0, 0, 0, 0])) AS UBIGINT[])), "
+        "lambda crc, x: CASE WHEN ((xor(crc, x & 255)) & 1) = 1 "
+        "THEN xor(xor(crc, x & 255) >> 1, CAST(3988292384 AS UBIGINT)) "
+        "ELSE xor(crc, x & 255) >> 1 END)"
+    )
+    turn = "coalesce(role, ''), coalesce(text, '')"
+    digest = "md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))"
+    return f"""
+WITH originals AS (
+  SELECT conv_id AS c, list(md5(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+                                 ::VARCHAR) || ':' || length(coalesce(text, ''))
+                            ORDER BY turn NULLS FIRST, {digest}) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), sized AS (
+  SELECT c, own, CAST(xor({bits}, CAST(4294967295 AS UBIGINT)) % {limit} AS BIGINT) AS h
+  FROM originals
+), rebuilt AS (
+  SELECT s.c, list_concat(coalesce(b.own, [])[1:s.h], s.own[s.h + 1:]) AS turns
+  FROM sized s LEFT JOIN originals b ON b.c = s.c - s.c % {group}
+), members AS (
+  SELECT c, len(turns) AS length, turns[1:d] AS node, d,
+         coalesce(CAST(string_split(turns[d], ':')[2] AS BIGINT), 0) AS points
+  FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, any_value(points) AS points,
+         coalesce(string_agg(CASE WHEN length = d THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')
+           AS ends
+  FROM members GROUP BY node, d
+), children AS (
+  SELECT p.node, p.d, count(k.node) AS n_children
+  FROM nodes p LEFT JOIN nodes k ON k.d = p.d + 1 AND k.node[1:p.d] = p.node GROUP BY p.node, p.d
+), below AS (
+  SELECT u.node[1:a] AS node, a AS d, u.n_convs, u.points, u.d AS at, k.n_children
+  FROM nodes u JOIN children k ON k.node = u.node AND k.d = u.d, range(0, u.d + 1) r(a)
+), subtrees AS (
+  SELECT node, d, count(*) FILTER (n_children = 0) AS n_leaves,
+         sum((n_convs - 1) * points) AS saved
+  FROM below GROUP BY node, d
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
+       CAST(n.n_convs AS BIGINT) AS n_convs, CAST(k.n_children AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+       sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN children k ON k.node = n.node AND k.d = n.d
+JOIN subtrees s ON s.node = n.node AND s.d = n.d
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.node = n.node[1:n.d - 1] AND n.d > 0
+"""

@@ -1,6 +1,8 @@
 """Plain answers to compare with."""
 
 import collections
+import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -134,3 +136,71 @@ class ByteModel:
         room = self.tokens + 0.5 * (len(self.words) + 1)
         known = sum(w in self.words for w in own)
         return len(own), known, sum(math.log10((self.words[w] + 0.5) / room) for w in own)
+
+
+def fails(text, repeated):
+    """The filters A to E that a text fails, as letters."""
+    text = text or ""
+    own = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return "".join(letter for letter, failed in zip("ABCDE", (
+        len(own) < 200, 100 * len(set(own)) < 50 * len(own),
+        100 * len(re.findall("[A-Z]", text)) > 3 * len(text), re.search("[#$%&*|]", text),
+        repeated,
+    ), strict=True) if failed)
+
+
+def audit(docs, labels):
+    """docs: (doc_id, text, lang); labels: (doc_id, quality, toxic). Every order, row by row."""
+    good = {i for i, quality, _ in labels if quality == 1 and i is not None}
+    toxic = {i for i, _, harm in labels if harm == 1 and i is not None}
+    parts = collections.defaultdict(list)
+    for i, text, lang in docs:
+        repeated = i is not None and any(
+            j is not None and j < i and (other or "") == (text or "") for j, other, _ in docs
+        )
+        parts[lang or ""].append((i, fails(text, repeated)))
+    found = []
+    for part, rows in parts.items():
+        own, shapley = [], collections.Counter()
+        for order in itertools.permutations("ABCDE"):
+            left, gone = list(rows), []
+            for step, letter in enumerate(order, start=1):
+                out = [r for r in left if letter in r[1]]
+                left = [r for r in left if letter not in r[1]]
+                shapley[letter] += len(out)
+                own.append((
+                    letter, part, "".join(order), step, len(left), len(out),
+                    sum(letter in r[1] for r in gone), sum(r[1] == letter for r in rows),
+                    sum(r[0] in good for r in out), sum(r[0] in toxic for r in out),
+                ))
+                gone += out
+        found += [(*row, shapley[letter]) for letter, *row in own]
+    return sorted(found, key=repr)
+
+
+def trie(rows, group=100, limit=6):
+    """rows: (conv_id, turn, role, text); the nodes as `prefix_trie` gives them."""
+    own = collections.defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            tie = hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()
+            own[c].append((turn is not None, turn or 0, tie, (role, text)))
+    own = {c: [t[-1] for t in sorted(turns)] for c, turns in own.items()}
+    members = collections.defaultdict(list)
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % limit
+        whole = (*own.get(c - int(math.fmod(c, group)), [])[:h], *turns[h:])
+        for d in range(len(whole) + 1):
+            members[whole[:d]].append((c, len(whole)))
+    children = collections.Counter(node[:-1] for node in members if node)
+    leaves, saved = collections.Counter(), collections.Counter()
+    for node, own in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += children[node] == 0
+            saved[node[:d]] += (len(own) - 1) * len(node[-1][1]) if node else 0
+    return sorted((
+        (min(own)[0], len(node), min(members[node[:-1]])[0] if node else None, len(own),
+         children[node], leaves[node], saved[node], hashlib.sha256(
+            ",".join(str(c) for c, n in sorted(own) if n == len(node)).encode()).hexdigest())
+        for node, own in members.items()), key=repr)

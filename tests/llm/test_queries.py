@@ -33,7 +33,7 @@ def test_query_is_its_sql(spark, duck, rows_of, name):
 
 def test_one_query_for_each_operator():
     names = sorted(queries.queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
 
 
 def test_op9_digests(spark, rows_of):
