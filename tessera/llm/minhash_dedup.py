@@ -9,12 +9,16 @@ probability 1 - 5e-6. Links are found in two steps, so that no bucket gives all
 1. every class of a bucket is compared with the bucket's first class, and the links that hold
    are joined to components;
 2. in buckets that still touch several components, the signatures of classes in different
-   components are compared, in blocks; pairs within 4 standard deviations of the threshold
-   are confirmed like the others. Pairs inside a component are not needed.
+   components are compared, in blocks of bounded members and shingles; pairs within 4 standard
+   deviations of the threshold are confirmed on the full sets in the same task, which holds the
+   block's texts. Pairs inside a component are not needed. A block gives the links that join
+   components, fewer than it has members, however many of its pairs are almost alike.
 
-Pairs are confirmed in a grid: a pair belongs to the cell of the hashes of both its classes, so
-that a class with very many partners is spread over a whole row of cells, and each cell holds
-a text once for all its pairs. Candidates travel as packed arrays.
+The pairs of the first step, one per class and bucket, are confirmed in a grid: a pair belongs to
+the cell of the hashes of both its classes, so that a class with very many partners is spread over
+a whole row of cells, and each cell holds a text once for all its pairs.
+
+Very long texts count by their shingles: a block has fewer of them. Empty tables give no rows.
 
 Null, empty and blank texts have an empty set and no links. A null id is never a component id
 unless no document of the group has another; rows that repeat an id are rows each for itself.
@@ -32,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import dealt, keyed_texts, stored
+from tessera.llm.common import keyed_texts, stored
 from tessera.llm.components import connected
 from tessera.llm.hashing import Hasher, mix
 
@@ -41,6 +45,9 @@ PERCENT = 75
 LAST_ID = (1 << 63) - 1
 BANDS, ROWS = 32, 4
 BLOCK_MEMBERS = 1024  # classes of one bucket compared at once with as many others
+BLOCK_SHINGLES = 1 << 21  # and about so many shingles of theirs
+SHARED_AT_ONCE = 1 << 14  # shingles whose owners are held as bits
+PAIRS_AT_ONCE = 1 << 14
 CELL_PAIRS = 2000  # about so many pairs are confirmed in a task's group
 
 _random = np.random.default_rng(75)
@@ -110,11 +117,14 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
-            packed = b"".join(part.column(1).to_pylist())
+            packed = b"".join(part.column(2).to_pylist())
             keys = band_keys(np.frombuffer(packed, np.uint32).reshape(-1, BANDS * ROWS))
-            nodes = np.repeat(part.column(0).to_numpy(zero_copy_only=False), BANDS)
+            nodes, sizes = (
+                np.repeat(part.column(i).to_numpy(zero_copy_only=False), BANDS) for i in (0, 1)
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), pa.array(nodes)], names=["bucket", "node"]
+                [pa.array(keys.ravel()), pa.array(nodes), pa.array(sizes)],
+                names=["bucket", "node", "n_shingles"],
             )
 
 
@@ -159,21 +169,70 @@ def _confirmed(shingle: int, percent: int):
     return run
 
 
-def _packed_pairs(a: np.ndarray, b: np.ndarray, grid: int) -> pa.Table:
-    """Pairs dealt to the cells of the grid, a row per cell."""
-    cells = mix(a.view(np.uint64)) % np.uint64(grid) * np.uint64(grid)
-    cells = (cells + mix(b.view(np.uint64)) % np.uint64(grid)).astype(np.int64)
-    parts = list(dealt(cells))
-    return pa.Table.from_arrays(
-        [pa.array([c for c, _ in parts], pa.int32()),
-         pa.array([a[p].tobytes() for _, p in parts], pa.binary()),
-         pa.array([b[p].tobytes() for _, p in parts], pa.binary())],
-        names=["cell", "a", "b"],
-    )
+def shared_counts(sets: list[np.ndarray]):
+    """A function of pairs (x, y) of the sets' numbers to the sizes of their intersections.
+
+    Only elements of several sets count; the owners of a stretch of them are rows of bits.
+    """
+    owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = np.cumsum(shared) - 1
+    wanted = shared[place]
+    owners, column = owners[wanted], column[place[wanted]]
+    order = np.argsort(column, kind="stable")
+    owners, column = owners[order], column[order]
+    bits = []
+    for at in range(0, int(shared.sum()), SHARED_AT_ONCE):
+        low, high = np.searchsorted(column, (at, at + SHARED_AT_ONCE))
+        members, own = np.unique(owners[low:high], return_inverse=True)
+        held = np.zeros((len(members) + 1, SHARED_AT_ONCE), bool)  # the last row owns nothing
+        held[own, column[low:high] - at] = True
+        row = np.full(len(sets), len(members))
+        row[members] = np.arange(len(members))
+        bits.append((row, np.packbits(held, axis=1).view(np.uint64)))
+
+    def count(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(x), np.int64)
+        for row, packed in bits:
+            both = packed[row[x]]
+            both &= packed[row[y]]
+            total += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+        return total
+
+    return count
+
+
+def _joined(components: np.ndarray, x: np.ndarray, y: np.ndarray, holds) -> list[int]:
+    """The places of the pairs that join components, out of those that hold; pairs whose sides
+    are joined by then are not looked at."""
+    parent = {c: c for c in components.tolist()}
+
+    def find(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    found = []
+    for at in range(0, len(x), PAIRS_AT_ONCE):
+        places = np.arange(at, min(at + PAIRS_AT_ONCE, len(x)))
+        root = {c: find(c) for c in parent}
+        one, other = (
+            np.array([root[c] for c in components[side[places]].tolist()], np.int64)
+            for side in (x, y)
+        )
+        places = places[one != other]
+        for place in places[holds(x[places], y[places])].tolist():
+            a, b = find(int(components[x[place]])), find(int(components[y[place]]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                found.append(place)
+    return found
 
 
-def _across(percent: int, grid: int):
-    """Pairs of one block of a bucket that lie in different components and look similar."""
+def _across(shingle: int, percent: int):
+    """Links of one block of a bucket that join different components."""
     n = BANDS * ROWS
     share = percent / 100
     least = n * share - 4 * math.sqrt(n * share * (1 - share))
@@ -188,7 +247,7 @@ def _across(percent: int, grid: int):
             b"".join(table.column("signature").to_pylist()), np.uint32
         ).reshape(-1, n)[order]
         left, right = np.flatnonzero(parts == i), np.flatnonzero(parts == j)
-        band, found = bucket % BANDS, []
+        band, found = bucket % BANDS, [(np.empty(0, np.int64),) * 2]
         for at in range(0, len(left), 256):
             rows = left[at : at + 256]
             alike = np.zeros((len(rows), len(right)), np.uint16)
@@ -198,14 +257,30 @@ def _across(percent: int, grid: int):
             good &= components[rows][:, None] != components[right][None, :]
             good &= nodes[rows][:, None] < nodes[right][None, :] if i == j else True
             x, y = np.nonzero(good)
-            x, y = rows[x], right[y]
-            # A pair is followed up in the first of the bands that it has in common.
-            common = (signatures[x] == signatures[y]).reshape(len(x), BANDS, ROWS).all(axis=2)
-            first = common.argmax(axis=1) == band
-            found.append((x[first], y[first]))
-        x, y = (np.concatenate(c) for c in zip(*found, strict=True)) if found else ([], [])
-        one, other = nodes[np.array(x, np.int64)], nodes[np.array(y, np.int64)]
-        return _packed_pairs(np.minimum(one, other), np.maximum(one, other), grid)
+            for part in range(0, len(x), PAIRS_AT_ONCE):
+                one = rows[x[part : part + PAIRS_AT_ONCE]]
+                other = right[y[part : part + PAIRS_AT_ONCE]]
+                # A pair is followed up in the first of the bands that it has in common.
+                common = (signatures[one] == signatures[other]).reshape(-1, BANDS, ROWS)
+                first = common.all(axis=2).argmax(axis=1) == band
+                found.append((one[first], other[first]))
+        x, y = (np.concatenate(c) for c in zip(*found, strict=True))
+        if not len(x):
+            return LINKS.empty_table()
+        used, places = np.unique(np.concatenate([x, y]), return_inverse=True)
+        x, y = places[: len(x)], places[len(x) :]
+        hasher, texts = Hasher(), table.column("text")
+        sets = [shingle_set(texts[k].as_py(), shingle, hasher) for k in order[used].tolist()]
+        sizes = np.array([len(s) for s in sets])
+        count = shared_counts(sets)
+
+        def holds(x, y):
+            common = count(x, y)
+            return 100 * common >= percent * (sizes[x] + sizes[y] - common)
+
+        links = _joined(components[used], x, y, holds)
+        one, other = nodes[used[x[links]]], nodes[used[y[links]]]
+        return pa.Table.from_arrays([pa.array(one), pa.array(other)], schema=LINKS)
 
     return run
 
@@ -240,6 +315,7 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_members: int = BLOCK_MEMBERS,
+    block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
     docs = keyed_texts(df, id_col, text_col).select(
@@ -253,9 +329,12 @@ def near_duplicates(
     # Equal sets are combined before the shuffle, so that copies weigh nothing from here on.
     classes = stored(sketches.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.min("signature").alias("signature"),
+        F.max("n_shingles").alias("n_shingles"),
         F.min(F.struct("order_id", "text_key")).alias("holder"),
     ))
-    rows = classes.select("node", "signature").mapInArrow(_buckets, "bucket long, node long")
+    rows = classes.select("node", "n_shingles", "signature").mapInArrow(
+        _buckets, "bucket long, node long, n_shingles long"
+    )
     shared = rows.groupBy("bucket").agg(
         F.min("node").alias("first"), F.max("node").alias("last")
     ).filter("first != last")
@@ -279,27 +358,25 @@ def near_duplicates(
     components = stored(connected(links))
 
     placed = members.join(components, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component")
+        "bucket", "node", "n_shingles", F.coalesce("component", "node").alias("component")
     )
     torn = placed.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("least"),
-        F.max("component").alias("most"),
-    ).filter("least != most and n > 2").withColumn(
-        "parts", F.ceil(F.col("n") / block_members).cast("int")
-    )
-    torn_rows = stored(placed.join(torn.select("bucket", "parts"), "bucket"))
-    grid = _grid(torn_rows.count())
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("room"),
+        F.min("component").alias("least"), F.max("component").alias("most"),
+    ).filter("least != most and n > 2").withColumn("parts", F.ceil(F.greatest(
+        F.col("n") / block_members, F.col("room") / block_shingles
+    )).cast("int"))
+    torn_rows = placed.join(torn.select("bucket", "parts"), "bucket")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     blocks = torn_rows.withColumn("part", part).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     ).select(
         "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
         "part", "node", "component",
-    ).join(texts.select("node", "signature"), "node")
-    across = stored(blocks.groupBy("bucket", "i", "j").applyInArrow(
-        _across(percent, grid), "cell int, a binary, b binary"
+    ).join(texts, "node")
+    more = stored(blocks.groupBy("bucket", "i", "j").applyInArrow(
+        _across(shingle, percent), "a long, b long"
     ))
-    more = stored(_confirm(across, texts, shingle, percent))
     if not more.isEmpty():
         components = connected(links.unionByName(more))
     # The class of a set, its component of classes, and the smallest id in there.
@@ -343,7 +420,8 @@ def _texts_of(holder: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
                     schema=schema,
                 )
 
-    named = docs.join(holder, ["order_id", "text_key"])
+    # Rows that repeat an id and a text are one; the join has brought them together.
+    named = docs.join(holder, ["order_id", "text_key"]).dropDuplicates(["order_id", "text_key"])
     return named.select("text", "node").mapInArrow(
         run, "node long, text string, signature binary"
     )

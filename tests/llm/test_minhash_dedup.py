@@ -1,6 +1,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 
 from tessera.llm import minhash_dedup as M
@@ -41,6 +42,64 @@ def test_a_hot_bucket_whose_first_class_links_with_few(docs, rows_of):
     assert got == sorted(brute.near_duplicates(rows), key=repr)
 
 
+def family(n, seed=9):
+    """Texts of one family, any two about as similar as the threshold, most just below."""
+    rnd = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for place in rnd.sample(range(120), 2):
+            copy[place] = f"x{i}-{place}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_links_of_a_block_grow_no_faster_than_its_texts(docs, monkeypatch):
+    out = {}
+    whole = M.stored
+
+    def spy(df):
+        written = whole(df)
+        if written.columns == ["a", "b"]:
+            out.setdefault(size, []).append(written.count())
+        return written
+
+    monkeypatch.setattr(M, "stored", spy)
+    for size in (100, 200, 400):
+        M.near_duplicates(docs(family(size))).count()
+    # The star's pairs, its links, and the links of blocks: each a few per text and band.
+    assert all(count <= M.BANDS * size for size, counts in out.items() for count in counts)
+    assert sum(out[400]) <= 3 * sum(out[200]) <= 9 * sum(out[100])
+
+
+@pytest.mark.parametrize("shingles", [300, 1 << 21])
+def test_families_about_the_threshold(docs, rows_of, shingles):
+    rows = family(150)
+    got = rows_of(M.near_duplicates(docs(rows), block_members=40, block_shingles=shingles))
+    assert got == sorted(brute.near_duplicates(rows), key=repr)
+
+
+def test_intersections_by_bits(monkeypatch):
+    monkeypatch.setattr(M, "SHARED_AT_ONCE", 64)
+    random_ = np.random.default_rng(1)
+    sets = [np.unique(random_.integers(0, 900, random_.integers(1, 400), dtype=np.uint64))
+            for _ in range(30)]
+    x, y = (a.ravel() for a in np.meshgrid(np.arange(30), np.arange(30)))
+    want = [len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y, strict=True)]
+    different = x != y  # an element of one set alone is not shared
+    assert (M.shared_counts(sets)(x, y)[different] == np.array(want)[different]).all()
+
+
+def test_one_text_per_class(docs):
+    rows = [(None, "one two three four five six")] * 30 + [(1, "one two three four five six seven")]
+    table = docs(rows).selectExpr("doc_id", "text", "coalesce(doc_id, 99) as order_id",
+                                  "xxhash64(text) as key").withColumnRenamed("key", "text_key")
+    holder = table.selectExpr("xxhash64(text) as node", "order_id", "text_key").distinct()
+    plain = table.select("doc_id", "text", "order_id", "text_key")
+    assert M._texts_of(holder, plain, 5).count() == 2
+
+
 def test_nulls_ties_and_repeated_rows(docs, rows_of):
     text = "one two three four five six"
     rows = [(7, text), (3, text.upper()), (3, text.upper()), (None, text), (1, None), (2, ""),
