@@ -25,8 +25,13 @@ def smallest_identity():
 
 
 def identity_resolution(channels: Channels) -> DataFrame:
+    """One identity per e-mail, in two steps: rows are hashed together by the whole identity,
+    then the smallest is picked among the few that an e-mail has, which alone are sorted."""
+    rows = reduce(DataFrame.unionByName, [df.select(*IDENTITY) for _, df in described(channels)])
+    # Without the count the optimizer would leave out the first step and sort every row.
+    known = rows.groupBy(*IDENTITY).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 0")
     return (
-        identity_union(channels)
+        known
         .groupBy("email")
         .agg(smallest_identity())
         .select("identity.customer_id", "email", "identity.first_name", "identity.last_name")

@@ -35,10 +35,13 @@ ZERO_FILLED = {
 }
 
 
-def channel_rollup(df: DataFrame, channel: Channel, *more: Column) -> DataFrame:
-    """One row per e-mail of one channel: its roll-ups and any further aggregates."""
+def channel_rollup(
+    df: DataFrame, channel: Channel, *more: Column, keys: tuple[str, ...] = ("email",)
+) -> DataFrame:
+    """One row per e-mail, or other keys, of one channel: its roll-ups and any further
+    aggregates."""
     measures = (f"{r.how}({r.source or '*'}) as {r.name}" for r in channel.rollups)
-    return df.groupBy("email").agg(*map(F.expr, measures), *more)
+    return df.groupBy(*keys).agg(*map(F.expr, measures), *more)
 
 
 def completed(df: DataFrame) -> DataFrame:
@@ -57,15 +60,26 @@ def completed(df: DataFrame) -> DataFrame:
     )
 
 
+def stacked(summaries: dict[str, DataFrame]) -> DataFrame:
+    """The channels' summaries below each other, null where a channel has no such column."""
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [df for _, df in described(summaries)],
+    )
+
+
+def combined(summaries: DataFrame, *more: Column, keys: tuple[str, ...] = ("email",)) -> DataFrame:
+    """Rows with roll-ups, of any channels, merged by key: the roll-ups and further aggregates."""
+    totals = [
+        f"{_COMBINE[r.how]}({r.name}) as {r.name}" for r in ROLLUPS if r.name in summaries.columns
+    ]
+    return summaries.groupBy(*keys).agg(*map(F.expr, totals), *more)
+
+
 def merge_channels(summaries: dict[str, DataFrame], *more: Column) -> DataFrame:
     """One row per e-mail out of one summary per channel, keyed by channel: the roll-ups
     and any further aggregates."""
-    parts = described(summaries)
-    stacked = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), [df for _, df in parts]
-    )
-    totals = [f"{_COMBINE[r.how]}({r.name}) as {r.name}" for c, _ in parts for r in c.rollups]
-    return completed(stacked.groupBy("email").agg(*map(F.expr, totals), *more))
+    return completed(combined(stacked(summaries), *more))
 
 
 def customer_activity(channels: Channels) -> DataFrame:

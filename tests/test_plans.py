@@ -10,7 +10,7 @@ from tessera.operators.events import event_rows, event_view
 from tessera.operators.identity import identity_resolution
 from tessera.operators.rollups import customer_activity
 from tessera.operators.sampling import customer_sample
-from tessera.plans.profile import profile_flat, profile_flat_joined, profile_nested
+from tessera.plans.profile import customers_top, profile_flat, profile_flat_joined, profile_nested
 from tessera.schemas import CHANNELS, MOBILE
 from tessera.sources.tables import channels_from_parquet
 
@@ -39,9 +39,31 @@ def counts(df):
     }
 
 
-def test_flat_reads_once_and_shuffles_once_per_channel(stored):
-    assert counts(profile_flat(stored)) == {"scans": 4, "shuffles": 4, "joins": 0}
+def sorted_rows(text):
+    """Of each sorting aggregation that reads no other: what it reads, down to the scans."""
+    lines = text.splitlines()
+    first = max(i for i, line in enumerate(lines) if "SortAggregate" in line)
+    return "\n".join(lines[first:])
+
+
+def test_flat_reads_once_and_hashes_channel_rows(stored):
+    flat = profile_flat(stored)
+    assert counts(flat) == {"scans": 4, "shuffles": 5, "joins": 0}
     assert counts(profile_flat_joined(stored))["scans"] == 8
+    for df in (flat, identity_resolution(stored), serve.profile_display(flat)):
+        # Two sorting steps around the last shuffle, both above rows hashed by identity.
+        text = plan(df)
+        assert text.count("SortAggregate") == 2
+        assert "HashAggregate(keys=[customer_id" in sorted_rows(text)
+
+
+def test_names_of_a_list_are_resolved_for_its_customers(stored):
+    text = plan(customers_top(stored))
+    assert text.count("TakeOrderedAndProject") == 2 and counts(customers_top(stored))["scans"] == 8
+    assert text.count("SortAggregate") == 2
+    assert "BroadcastHashJoin" in sorted_rows(text)  # sorted are rows of wanted customers
+    ranked = text[text.rindex("TakeOrderedAndProject"):]
+    assert "first_name" not in ranked and "SortAggregate" not in ranked
 
 
 def test_nested_reads_once(stored):
@@ -81,7 +103,7 @@ def test_sample_is_a_top_k_per_channel(stored, size):
 
 def test_lookup_scans_each_channel_once(stored):
     found = serve.profile_lookup(profile_flat(stored), "A@x.org")
-    assert counts(found) == {"scans": 4, "shuffles": 4, "joins": 0}
+    assert counts(found) == {"scans": 4, "shuffles": 5, "joins": 0}
 
 
 @pytest.mark.parametrize("name", sorted(entry._queries()))

@@ -7,7 +7,7 @@ import pytest
 from tessera.operators import serve
 from tessera.operators.identity import identity_resolution
 from tessera.operators.sampling import customer_sample
-from tessera.plans.profile import profile_flat, profile_nested
+from tessera.plans.profile import customers_top, profile_flat, profile_nested
 from tessera.schemas import LOOKUP_COLUMNS, SUMMARY_COLUMNS
 from tessera.sources.sinks import for_lookup
 
@@ -176,3 +176,16 @@ def test_sample(people):
     again = customer_sample(customers.repartition(6), 3, seeds).collect()
     assert sorted(drawn) == sorted(again)
     assert customer_sample(customers, 50, seeds).count() == 12
+
+
+def test_top_from_channels_is_that_of_the_profile(channels):
+    who = [{"email": f"{c}@x.org", "customer_id": f"C{i}{c}", "first_name": c.upper()}
+           for c in "abcde" for i in range(3)] + [{"email": None, "first_name": "Guest"}]
+    given = channels(mobile_app=who * 2, partner_checkout=who[4:], web_portal=who[9:13],
+                     cobranded_card=[{"email": None}])
+    flat = profile_flat(given)
+    for limit in (1, 3, 50):
+        assert customers_top(given, limit).collect() == serve.customers_top(flat, limit).collect()
+    assert customers_top(channels()).collect() == []
+    with pytest.raises(ValueError):
+        customers_top(given, 0)
