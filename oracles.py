@@ -508,6 +508,20 @@ UNION ALL SELECT email, 'card_account_events',
   cast(card_account_count as varchar) || ' events' FROM profile WHERE card_account_count > 0"""
 
 
+_FULL_NAME = "lower(first_name || ' ' || last_name)"
+# The searches through the index, as scans.
+_INDEXED = {
+    "customers_search_index":
+        f"contains(lower(email), 'mer 00000001') OR contains({_FULL_NAME}, 'mer 00000001')",
+    "customers_search_index_email":
+        f"contains(lower(email), '.00000001') OR contains({_FULL_NAME}, '.00000001')",
+    "customers_search_index_wildcard":
+        f"lower(email) LIKE '%er_0%7@ex%' OR {_FULL_NAME} LIKE '%er_0%7@ex%'",
+    "customers_search_index_short":
+        f"contains(lower(email), '7@') OR contains({_FULL_NAME}, '7@')",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     flat = _with("profile", f"SELECT {FLAT} FROM profile")
     views = {
@@ -586,6 +600,11 @@ WHERE lower(email) LIKE lower('%ER_0%7@Ex%') OR
   lower(first_name || ' ' || last_name) LIKE lower('%ER_0%7@Ex%')
 ORDER BY email LIMIT 500""",
         ),
+        **{
+            name: _with("profile", f"""SELECT {SUMMARY} FROM profile WHERE {found}
+ORDER BY email LIMIT 500""")
+            for name, found in _INDEXED.items()
+        },
         "profile_lookup": _with(
             "profile wanted",
             f"SELECT {FLAT} FROM profile WHERE lower(email) IN "
@@ -716,6 +735,11 @@ ORDER BY email LIMIT 1""",
         "id_format_violations": _with("mobile partner web card", _IDS),
         "range_report": _with("mobile partner web card", _RANGES),
         "null_report": _with("mobile partner web card", _NULLS),
+        "reject_reasons": _with(
+            "mobile partner web card",
+            "SELECT channel, rule || ': is null' AS reason, violations AS rows "
+            f"FROM (\n{_NULLS}\n) WHERE violations > 0",
+        ),
         "customer_sample": _with(
             "ids",
             f"""SELECT channel, cast(position as int) AS position, customer_id, email, first_name,

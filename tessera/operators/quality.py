@@ -122,17 +122,17 @@ def delinquency_rule_violations(card: DataFrame) -> DataFrame:
     )
 
 
-def accepted_values_report(channels: Channels) -> DataFrame:
-    """Values outside the closed lists; partner and segment count as a pair."""
+def accepted_values_rules(c: Channel) -> dict[str, str]:
+    found = {n: f"{n} not in ({_words(words)})" for n, words in DOMAINS[c.key].items()}
+    if c is PARTNER:
+        pairs = ", ".join(f"({_words(pair)})" for pair in PARTNER_SEGMENTS.items())
+        found["partner_and_segment"] = f"(partner_name, partner_segment) not in ({pairs})"
+    return found
 
-    def rules(c: Channel) -> dict[str, str]:
-        found = {n: f"{n} not in ({_words(words)})" for n, words in DOMAINS[c.key].items()}
-        if c is PARTNER:
-            pairs = ", ".join(f"({_words(pair)})" for pair in PARTNER_SEGMENTS.items())
-            found["partner_and_segment"] = f"(partner_name, partner_segment) not in ({pairs})"
-        return found
 
-    return _reports(channels, rules)
+def accepted_values_report(channels: Channels) -> DataFrame:
+    """Values outside the closed lists; partner and segment count as a pair."""
+    return _reports(channels, accepted_values_rules)
 
 
 def _continues(text: str, prefix: str, pattern: str) -> str:
@@ -159,25 +159,25 @@ def id_format_violations(channels: Channels) -> DataFrame:
     return _reports(channels, rules)
 
 
+def range_rules(c: Channel) -> dict[str, str]:
+    first, days = DATE_WINDOWS[c.key]
+    start, end = f"date '{first}'", f"date_add(date '{first}', {days})"
+    if c is MOBILE:
+        start = f"timestamp({start})"
+        end = f"timestamp({end}) + interval 1440 minutes"
+    found = {c.time_field: f"{c.time_field} not between {start} and {end}"}
+    for name, (low, high) in RANGES[c.key].items():
+        found[name] = f"{name} not between {low} and {high}"
+    if c is CARD:
+        most = "bround(credit_limit * 1.05, 2)"
+        found["current_balance"] = f"current_balance not between 0 and {most}"
+    return found
+
+
 def range_report(channels: Channels) -> DataFrame:
     """Dates outside their channel's window and numbers outside their range. Order times
     may run to the end of the day after the window's last."""
-
-    def rules(c: Channel) -> dict[str, str]:
-        first, days = DATE_WINDOWS[c.key]
-        start, end = f"date '{first}'", f"date_add(date '{first}', {days})"
-        if c is MOBILE:
-            start = f"timestamp({start})"
-            end = f"timestamp({end}) + interval 1440 minutes"
-        found = {c.time_field: f"{c.time_field} not between {start} and {end}"}
-        for name, (low, high) in RANGES[c.key].items():
-            found[name] = f"{name} not between {low} and {high}"
-        if c is CARD:
-            most = "bround(credit_limit * 1.05, 2)"
-            found["current_balance"] = f"current_balance not between 0 and {most}"
-        return found
-
-    return _reports(channels, rules)
+    return _reports(channels, range_rules)
 
 
 def null_report(channels: Channels) -> DataFrame:
