@@ -574,13 +574,16 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) AS total_customers, "
             "count(*) FILTER (WHERE channel_count > 1) AS multi_channel_customers FROM profile",
         ),
-        "portfolio_stats": _with(
-            "stacked",
-            "SELECT * REPLACE (cast(total_mobile_spend as double) AS total_mobile_spend, "
-            "cast(total_partner_principal as double) AS total_partner_principal, "
-            "cast(total_web_funded as double) AS total_web_funded, "
-            f"cast(total_card_balance as double) AS total_card_balance) FROM ({STATS})",
-        ),
+        **{
+            name: _with(
+                "stacked",
+                "SELECT * REPLACE (cast(total_mobile_spend as double) AS total_mobile_spend, "
+                "cast(total_partner_principal as double) AS total_partner_principal, "
+                "cast(total_web_funded as double) AS total_web_funded, "
+                f"cast(total_card_balance as double) AS total_card_balance) FROM ({STATS})",
+            )
+            for name in ("portfolio_stats", "portfolio_stats_partials")
+        },
         "portfolio_tiles": _with("stacked", f"SELECT * FROM (WITH s AS ({STATS}) {_TILES})"),
         "customers_top": _with(
             "profile",

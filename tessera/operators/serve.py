@@ -65,6 +65,27 @@ def portfolio_stats(profiles: DataFrame) -> DataFrame:
     )
 
 
+def portfolio_partials(profiles: DataFrame, *keys: str) -> DataFrame:
+    """The statistics of each group of profiles, in a form that adds up: a row per key. Kept
+    beside the profiles by bucket, they answer `portfolio_of` without reading profiles."""
+    return profiles.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_customers"),
+        F.count_if(F.col("channel_count") > 1).alias("multi_channel_customers"),
+        *(
+            F.sum(column).alias(name) for name, column in (TOTAL_COUNTS | TOTAL_AMOUNTS).items()
+        ),
+    )
+
+
+def portfolio_of(partials: DataFrame) -> DataFrame:
+    """The row of `portfolio_stats` out of partial statistics. Decimals stay exact to the end."""
+    return partials.agg(
+        F.coalesce(F.sum("total_customers"), F.lit(0)).alias("total_customers"),
+        *(F.sum(name).alias(name) for name in ("multi_channel_customers", *TOTAL_COUNTS)),
+        *(F.sum(name).cast("double").alias(name) for name in TOTAL_AMOUNTS),
+    )
+
+
 def portfolio_tiles(stats: DataFrame) -> DataFrame:
     """The statistics as labelled texts, one row each."""
     tiles = []

@@ -88,5 +88,7 @@ def test_empty_tables_and_missing_columns(spark, texts, tmp_path):
         load = quarantine(empty, channel, str(tmp_path), {"any": "true"})
         assert (load.good_rows, load.rejected_rows, load.violations) == (0, 0, {"any": 0})
         assert load.good.collect() == load.rejected.collect() == []
+    nothing = quarantine(texts("mobile_app", {}).limit(0), MOBILE, str(tmp_path))
+    assert (nothing.good_rows, nothing.rejected_rows) == (0, 0)
     with pytest.raises(ValueError, match="email"):
         judged(texts("mobile_app", {}).drop("email"), MOBILE)
