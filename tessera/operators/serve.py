@@ -70,7 +70,7 @@ def portfolio_partials(profiles: DataFrame, *keys: str) -> DataFrame:
     beside the profiles by bucket, they answer `portfolio_of` without reading profiles."""
     return profiles.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_customers"),
-        F.count_if(F.col("channel_count") > 1).alias("multi_channel_customers"),
+        F.sum(F.when(F.col("channel_count") > 1, 1).otherwise(0)).alias("multi_channel_customers"),
         *(
             F.sum(column).alias(name) for name, column in (TOTAL_COUNTS | TOTAL_AMOUNTS).items()
         ),

@@ -95,9 +95,14 @@ def test_event_rows_do_not_shuffle(stored):
     assert "Exchange" not in text and "PushedFilters: [IsNotNull(email)]" in text
 
 
-@pytest.mark.parametrize("size", [100, 5000])
-def test_sample_is_a_top_k_per_channel(stored, size):
-    text = plan(customer_sample(identity_resolution(stored), size))
+def test_sample_merges_the_customers_once(stored):
+    text = plan(customer_sample(identity_resolution(stored), 100))
+    assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+    assert counts(customer_sample(identity_resolution(stored), 100))["scans"] == 4
+
+
+def test_large_sample_is_a_top_k_per_channel(stored):
+    text = plan(customer_sample(identity_resolution(stored), 5000))
     assert text.count("TakeOrderedAndProject") == 4
 
 
