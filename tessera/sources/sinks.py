@@ -51,7 +51,7 @@ def replace_table_as(
     start to point at it. Readers see the old rows or the new ones, and a failed job changes
     nothing. The version before last is dropped; the last stays for queries under way. If a
     table, or a view made otherwise, already has the name, nothing is written and an error
-    says so. Of two replacements at once the later publication counts; the other's version
+    says so; `adopt_table` takes a table over. Of two replacements at once the later publication counts; the other's version
     stays in the catalog, since nobody can know whether it is still read.
 
     With a column ``email_lc`` its Bloom filters are written, which let a lookup skip most
@@ -69,14 +69,41 @@ def replace_table_as(
     if "email_lc" in df.columns:
         writer = writer.option("parquet.bloom.filter.enabled#email_lc", "true")
     writer.format("parquet").saveAsTable(names.qualified(version))
+    _point(spark, names, table, version, previous, comment)
+    if kept is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {names.qualified(kept)}")
+
+
+def adopt_table(spark: SparkSession, names: TableNames, table: str, comment: str = "") -> None:
+    """Make a table of its own the first version behind a view of its name, so that
+    `replace_table_as` can replace it. No row is copied: the table is renamed, and for the moment
+    until the view stands nobody finds the name. If the view cannot be made, the table gets its
+    name back. An error if there is no such table, or the name is a view already."""
+    view = names.qualified(table)
+    if not spark.catalog.tableExists(view):
+        raise ValueError(f"there is no table {view}")
+    if spark.catalog.getTable(view).tableType == "VIEW":
+        raise ValueError(f"{view} is a view already")
+    version = f"{table}_v{uuid.uuid4().hex[:12]}"
+    spark.sql(f"ALTER TABLE {view} RENAME TO {names.qualified(version)}")
+    try:
+        _point(spark, names, table, version, None, comment)
+    except Exception:
+        spark.sql(f"ALTER TABLE {names.qualified(version)} RENAME TO {view}")
+        raise
+
+
+def _point(
+    spark: SparkSession, names: TableNames, table: str, version: str, previous: str | None,
+    comment: str,
+) -> None:
+    """The view of the name shows a version from now on, and records it and the one before."""
     note = f"COMMENT {_text(comment)} " if comment else ""
     chain = f"'version' = '{version}', 'previous' = '{previous or ''}'"
     spark.sql(
-        f"CREATE OR REPLACE VIEW {view} {note}TBLPROPERTIES ({chain}) AS "
+        f"CREATE OR REPLACE VIEW {names.qualified(table)} {note}TBLPROPERTIES ({chain}) AS "
         f"SELECT * FROM {names.qualified(version)}"
     )
-    if kept is not None:
-        spark.sql(f"DROP TABLE IF EXISTS {names.qualified(kept)}")
 
 
 def _own_versions(spark: SparkSession, view: str) -> tuple[str | None, str | None]:

@@ -9,6 +9,7 @@ from tessera.plans.jobs import PROFILE_COMMENT, consolidate
 from tessera.plans.profile import profile_nested
 from tessera.schemas import CHANNELS, MOBILE
 from tessera.sources.sinks import (
+    adopt_table,
     comment_on_table,
     load_channel,
     overwrite_table,
@@ -148,3 +149,35 @@ def test_parquet_and_json_lines(spark, channels, tmp_path):
     write_json_lines(serve.profile_json(nested), f"{tmp_path}/out")
     lines = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out").collect()]
     assert {line["email"] for line in lines} == {"ada.byron001@x.org", "b@x.org"}
+
+
+def test_a_plain_table_is_adopted_and_then_replaced(spark, names):
+    t = names.qualified("t")
+    with pytest.raises(ValueError, match="no table"):
+        adopt_table(spark, names, "t")
+    overwrite_table(spark.sql("select 1 as a"), t)
+    with pytest.raises(ValueError, match="table of its own"):
+        replace_table_as(spark.sql("select 2 as a"), names, "t")
+    adopt_table(spark, names, "t", "taken over")
+    assert [r["a"] for r in spark.table(t).collect()] == [1]
+    with pytest.raises(ValueError, match="view already"):
+        adopt_table(spark, names, "t")
+    for value in (2, 3):
+        replace_table_as(spark.sql(f"select {value} as a"), names, "t")
+        assert [r["a"] for r in spark.table(t).collect()] == [value]
+    left = [r["tableName"] for r in spark.sql(f"show tables in {names.schema}").collect()]
+    assert len(left) == 3  # the view, its version and the one before; the adopted one is gone
+
+
+def test_a_failed_adoption_gives_the_name_back(spark, names, monkeypatch):
+    from tessera.sources import sinks
+
+    def fail(*_):
+        raise RuntimeError("no view")
+
+    t = names.qualified("t")
+    overwrite_table(spark.sql("select 1 as a"), t)
+    monkeypatch.setattr(sinks, "_point", fail)
+    with pytest.raises(RuntimeError):
+        adopt_table(spark, names, "t")
+    assert [r["a"] for r in spark.table(t).collect()] == [1]
