@@ -651,6 +651,11 @@ ORDER BY email LIMIT 1""",
             "string_agg(loan_id, ',' ORDER BY loan_id) AS loan_ids FROM partner "
             "WHERE email IS NOT NULL GROUP BY email",
         ),
+        "partner_page_directory": _with(
+            "partner",
+            "SELECT email, count(*) AS events, true AS connected, true AS enough, "
+            "true AS no_empty_page FROM partner WHERE email IS NOT NULL GROUP BY email",
+        ),
         "derived_amount_violations": _with("mobile partner", "\nUNION ALL ".join((
             _rules("mobile_app", "mobile", {
                 "installment_amount": "stored_wrong AND 100 <> "

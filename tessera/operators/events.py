@@ -1,7 +1,8 @@
 """Event histories: rows to arrays per customer, and arrays back to rows for display.
 
 An array lives in one row of one task. `event_histories` gives one row per customer;
-`event_pages` gives every history in pages of a stated size.
+`event_pages` gives every history in pages of a stated size; `page_directory` stores them
+so that a page can be opened alone.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from tessera.functions import display
 from tessera.schemas import CARD, MOBILE, PARTNER, WEB, Channel
 from tessera.sources.tables import Channels, described
 
+LOT = 65536  # runs of copies that are numbered in one array
+
+
 def event_struct(channel: Channel) -> Column:
     fields = (
         f"'{f.name}', cast({f.name} as {f.dataType.simpleString()})" for f in channel.event_type
@@ -53,36 +57,75 @@ def event_histories(channels: Channels) -> DataFrame:
     return merged.groupBy("email").agg(*(merge_events(c) for c, _ in described(known)))
 
 
+def counted_events(df: DataFrame, channel: Channel) -> DataFrame:
+    """(email, event, copies): equal events of a customer are one row with their number, so that
+    no two rows are alike and any number of copies is a row per map task."""
+    return (
+        df.filter("email is not null")
+        .groupBy("email", event_struct(channel).alias("event"))
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+
+
+def _runs(counted: DataFrame, most: int) -> DataFrame:
+    """The copies of an event dealt to rows of at most ``most``, numbered by ``run``. In two
+    steps, since the numbers of very many runs would not fit into one array."""
+    last = F.floor((F.col("copies") - 1) / most)
+    lots = counted.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(LOT))))
+    within = F.sequence(F.col("lot"), F.least(F.col("lot") + (LOT - 1), last))
+    rest = F.col("copies") - F.col("run") * most
+    return lots.withColumn("run", F.explode(within)).select(
+        "email", "event", "run", F.least(F.lit(most), rest).alias("copies")
+    )
+
+
 def event_pages(df: DataFrame, channel: Channel, page_events: int) -> DataFrame:
     """(email, event_page, events): each history in pages of at most ``page_events`` events, in
     order of id and then of the other fields, the pages in order of their number. The same
     for every customer.
 
-    No task needs a whole history and nothing is counted first: range partitions by e-mail and
-    event cut a hot e-mail into several, and each partition cuts its part into pages. The page's
-    number is the partition's, shifted, plus the page's within it; it is unique for an e-mail
-    and says nothing else. Equal events are told apart by their place in the file, so that
-    copies spread over the partitions.
+    No task needs a whole history. Range partitions by e-mail and event cut a hot e-mail into
+    several, and each partition cuts its part into pages. The page's number is the partition's,
+    shifted, plus the page's within it; it is unique for an e-mail and says nothing else. Equal
+    events are counted and told apart by number, so that copies spread over the partitions and
+    a task that is run again, on rows in any order, gives the same pages.
     """
-    if page_events < 1:
-        raise ValueError("page_events must be 1 or more")
-    rows = df.filter("email is not null").select(
-        "email", event_struct(channel).alias("event"),
-        F.monotonically_increasing_id().alias("copy"),
-    )
-    ranged = rows.repartitionByRange("email", "event", "copy").withColumn(
+    check_page(page_events)
+    runs = _runs(counted_events(df, channel), page_events)
+    ranged = runs.repartitionByRange("email", "event", "run").withColumn(
         "part", F.spark_partition_id().cast("long")
     )
-    own = Window.partitionBy("email", "part").orderBy("event", "copy")
-    page = F.floor((F.row_number().over(own) - 1) / page_events)
+    before = (
+        Window.partitionBy("email", "part").orderBy("event", "run")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    placed = ranged.withColumn("start", F.coalesce(F.sum("copies").over(before), F.lit(0)))
     return (
-        ranged.withColumn("page", page)
+        _on_pages(placed, page_events)
         .groupBy("email", "part", "page")
-        .agg(F.sort_array(F.collect_list("event")).alias("events"))
+        .agg(F.sort_array(F.flatten(F.collect_list(
+            F.array_repeat("event", F.col("taken").cast("int"))
+        ))).alias("events"))
         .select("email", (F.shiftleft("part", 32) + F.col("page")).alias("event_page"), "events")
     )
 
 
+def check_page(page_events: int) -> None:
+    if page_events < 1:
+        raise ValueError("page_events must be 1 or more")
+
+
+def _on_pages(placed: DataFrame, page_events: int) -> DataFrame:
+    """Rows with ``start``, the events before them, and ``copies``: one for each ``page`` that they
+    reach, with ``taken``, the copies on it. For rows that reach few pages."""
+    end = F.col("start") + F.col("copies")
+    pages = F.sequence(F.floor(F.col("start") / page_events), F.floor((end - 1) / page_events))
+    on_page = F.least(end, (F.col("page") + 1) * page_events) - F.greatest(
+        F.col("start"), F.col("page") * page_events
+    )
+    return placed.withColumn("page", F.explode(pages)).withColumn("taken", on_page)
+
+
 def event_rows(df: DataFrame, channel: Channel) -> DataFrame:
     """The channel's events as rows, straight from its table: no shuffle."""
     fields = event_struct(channel).alias("event")
