@@ -1,6 +1,7 @@
 """URL filters, token counts, decontamination and mixing."""
 
 import random
+import tracemalloc
 
 import brute
 import duckdb
@@ -122,14 +123,28 @@ def test_decontamination_is_brute_force(spark, docs, block_bytes):
     assert (nothing["n_words"], nothing["n_hit"], nothing["items"]) == (2, 0, [])
 
 
-def test_decontamination_has_one_search_at_a_time(spark, docs):
-    items = spark.createDataFrame([(i, f"a{i} b c") for i in range(4)], "item_id long, text string")
-    found = decontamination.find_contamination(docs([(1, "x a2 b c y a0 b c")]), items,
-                                               block_bytes=1)
+def test_decontamination_writes_only_hits(spark, docs, monkeypatch):
+    items = spark.createDataFrame([(i, f"a{i} b c") for i in range(3)], "item_id long, text string")
+    written = []
+    monkeypatch.setattr(decontamination, "stored", lambda df: written.append(df) or df)
+    rows = [(i, f"clean text {i}") for i in range(50)] + [(50, "x a2 b c y a0 b c")] * 3
+    found = decontamination.find_contamination(docs(rows), items, block_bytes=1)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("MapInArrow") == 1
-    row = found.first()
-    assert (row["n_words"], row["n_hit"], row["items"]) == (8, 6, ["0", "2"])
+    assert len(written) == 2 and plan.count("MapInArrow") == 3  # written are the first two
+    assert [w.count() for w in written] == [1, 0]
+    assert all("text" not in w.columns for w in written)
+    hit = [r for r in found.collect() if r["n_hit"]]
+    assert [(r["n_words"], r["n_hit"], r["items"]) for r in hit] == [(8, 6, ["0", "2"])] * 3
+
+
+def test_memory_of_a_benchmark_block():
+    rnd = random.Random(9)
+    text = b"".join(b"%x " % rnd.getrandbits(22) for _ in range(300_000))
+    tracemalloc.start()
+    known = decontamination.Benchmark([("1", text)], 10)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert known.searches and held < 8 * len(text) and peak < 25 * len(text)
 
 
 def mix_rows(n=400):
