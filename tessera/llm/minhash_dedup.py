@@ -318,10 +318,61 @@ def near_duplicates(
     block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
-    docs = keyed_texts(df, id_col, text_col).select(
+    docs = _keyed(df, id_col, text_col)
+    sketches, grouped = _grouped(docs, shingle, percent, block_members, block_shingles)
+    smallest = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = grouped.join(smallest, "component").select("node", "component_id")
+    return sketches.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
+        "doc_id", "n_shingles",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("component_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"),
+    )
+
+
+def one_of_each_group(
+    df: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``df`` but for near duplicates: of each group exactly one row stays, whatever
+    its id. It is the one with the smallest id, nulls last, then by a hash of its text, then by
+    its other columns; of rows equal in everything one stays. Rows without words all stay."""
+    columns = [F.col(c) for c in df.columns]
+    rows = df.select(
+        F.struct(*columns).alias("row"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("order_id"),
+        F.col(text_col).cast("string").alias("text"),
+    )
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = rows.select("row", "order_id", F.xxhash64("text").alias("text_key"),
+                       has_words.alias("has_words"))
+    sketches, grouped = _grouped(
+        _keyed(df, id_col, text_col), shingle, percent, BLOCK_MEMBERS, BLOCK_SHINGLES
+    )
+    chosen = grouped.groupBy("component").agg(F.min("holder").alias("holder")).select("holder.*")
+    # How many rows share the chosen one's id and text: nearly always itself alone.
+    alike = sketches.groupBy("order_id", "text_key").agg(F.count(F.lit(1)).alias("alike"))
+    chosen = stored(chosen.join(alike, ["order_id", "text_key"]))
+    found = rows.filter("has_words").join(chosen, ["order_id", "text_key"])
+    single = found.filter("alike = 1").select("row")
+    several = found.filter("alike > 1").groupBy("order_id", "text_key").agg(
+        F.min("row").alias("row")
+    ).select("row")
+    kept = rows.filter("not has_words").select("row").unionAll(single).unionAll(several)
+    return kept.select("row.*")
+
+
+def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return keyed_texts(df, id_col, text_col).select(
         "doc_id", "text", F.coalesce("doc_id", F.lit(LAST_ID)).alias("order_id"),
         F.xxhash64("text").alias("text_key"),
     )
+
+
+def _grouped(
+    docs: DataFrame, shingle: int, percent: int, block_members: int, block_shingles: int
+) -> tuple[DataFrame, DataFrame]:
+    """The sketch of every row, and (node, least, holder, component) of every class: its smallest
+    id, the (order_id, text_key) of its smallest row, and its component of classes."""
     sketches = stored(docs.mapInArrow(
         _sketches(shingle),
         "doc_id long, order_id long, text_key long, n_shingles long, node long, signature binary",
@@ -379,17 +430,10 @@ def near_duplicates(
     ))
     if not more.isEmpty():
         components = connected(links.unionByName(more))
-    # The class of a set, its component of classes, and the smallest id in there.
-    grouped = classes.select("node", "least").join(components, "node", "left").select(
-        "node", "least", F.coalesce("component", "node").alias("component")
-    )
-    smallest = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = grouped.join(smallest, "component").select("node", "component_id")
-    return sketches.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
-        "doc_id", "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("component_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"),
+    grouped = classes.select("node", "least", "holder").join(components, "node", "left").select(
+        "node", "least", "holder", F.coalesce("component", "node").alias("component")
     )
+    return sketches, grouped
 
 
 def _pack(table: pa.Table) -> pa.Table:

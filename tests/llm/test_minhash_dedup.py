@@ -128,3 +128,18 @@ def test_components_of_random_graphs(spark):
         got = connected(spark.createDataFrame(links, "a long, b long"))
         assert {r["node"]: r["component"] for r in got.collect()} == want
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_row_of_each_group_stays(docs):
+    text = "one two three four five six seven eight nine ten"
+    own = "a text that is quite unlike the other one here"
+    rows = [(5, text, "en"), (5, text, "en"), (5, text, "de"), (None, text), (None, text),
+            (7, text + " eleven"), (5, own), (None, own + " b"), (None, own + " b"),
+            (8, None), (8, None), (9, " "), (9, " "), (None, "alone and null")]
+    got = M.one_of_each_group(docs(rows))
+    assert got.columns == docs(rows).columns
+    found = sorted(((r["doc_id"], r["text"], r["lang"]) for r in got.collect()), key=repr)
+    want = [(5, text, "de"), (5, own, None), (8, None, None), (8, None, None),
+            (9, " ", None), (9, " ", None), (None, "alone and null", None)]
+    assert found == sorted(want, key=repr)
+    assert M.one_of_each_group(docs([])).collect() == []
