@@ -5,15 +5,15 @@ Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with
 
 1. ``language_id``: documents without a letter (and null texts) go, no others; a missing
    ``lang`` is filled with the prediction, which is ``und`` where no row has a label.
-2. ``minhash_dedup``: of each group of near duplicates the document with the smallest id stays.
+2. ``minhash_dedup``: of each group of near duplicates one row stays, that with the smallest id.
 3. ``suffix_dedup``: bytes of passages of 100 bytes that also start earlier are removed from
    the texts; documents of which nothing is left go.
 4. ``decontamination``: documents that hold a passage of the benchmark go.
 5. ``mix_sources``: every document as often as its source's target asks for, with the number
    of the copy.
 
-Ids identify documents: rows that repeat an id stay or go together in stage 2. Documents with
-a null id are never dropped there. Empty tables pass through.
+Rows count, not ids: stage 2 keeps exactly one row of a group, also where rows repeat an id, have
+none, or are equal. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -44,9 +44,7 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_find_package(spark)
-    groups = minhash_dedup.near_duplicates(docs)
-    dropped = groups.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    return minhash_dedup.one_of_each_group(docs.select(*COLUMNS))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
