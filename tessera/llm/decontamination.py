@@ -15,9 +15,10 @@ A block of two words is known by its hash; the windows that end in it form its b
 those with the document's hash of the whole window are compared byte for byte.
 
 The benchmark is the query set. It is read in blocks of about ``block_bytes`` of text (an item is
-never split), and a block is broadcast as text. A task holds one block at a time, as arrays of
-about 5 times its text. With several blocks the documents are searched once for each, and only the
-spans of documents with hits are written; these come together at the search for the last block.
+never split), and a block is broadcast as text. A task holds one block at a time, as arrays of 5 to
+7 times its text (15 to 20 while they are built). With several blocks the documents are searched
+once for each, and only the spans of documents with hits are written; these come together at the
+search for the last block.
 Very long texts are searched whole, a batch of documents at a time. An empty table of documents
 gives no rows; an empty benchmark gives documents without hits.
 """
