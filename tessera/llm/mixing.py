@@ -7,14 +7,18 @@ its expected number of copies to within one, no document more copies than its ex
 rounded up, and with documents ordered by size the words taken follow the target closely.
 
 The running sum must not need a whole source in one task. Documents are put in cells, by size
-to four leading bits and by a hash of the document; a source has at most
-``8 x 60 x buckets`` cells, however many documents it has. Cells are counted with map-side
-combining, the counts are summed per source, and documents are numbered within their cell.
+to four leading bits and by a hash of id and text. A class of sizes has ``buckets`` cells and one
+more for every ``cell_rows`` documents of its source, so that a cell has about ``cell_rows`` at most
+even where all documents are equally long or have no id. The sources with more cells are fewer
+than a ``cell_rows``-th of the documents. Cells are counted with map-side combining and written
+once; their counts are summed by class, the classes by source, and documents are numbered within
+their cell. Only the few rows of sources are ordered in one task.
 
 Rows with a null text, or without words, have size 0; they take part like others and add no
-words. Null is a source of its own, the last. Repeated rows are documents each for itself. Rows
-that agree in source, size and id are interchangeable: which of them is taken more often is
-not defined, how many copies they get together is. An empty table gives an empty result.
+words. Null is a source of its own, the last. Repeated rows are documents each for itself; rows
+that agree in source, id and text share a cell and are interchangeable: which of them is taken
+more often is not defined, how many copies they get together is. Very long texts are one row of a
+large size, taken as often as their source's rate says. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,9 +26,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 BUCKETS = 32  # parts of the documents of one size class, so that a hot class is split
+CELL_ROWS = 1_000_000  # a source has one part more for so many documents
 SIZE_BITS = 4  # leading bits of the size that make its class
 
 
@@ -32,9 +39,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _md5_number(text: Column) -> Column:
-    """The first 32 bits of the MD5, the same in every engine."""
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+def _md5_number(text: Column, digits: int = 8) -> Column:
+    """The first hexadecimal digits of the MD5 as a number, the same in every engine."""
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
 
 
 def size_class(size: Column) -> Column:
@@ -84,6 +91,39 @@ def source_targets(
     )
 
 
+def _source_key(source: Column) -> Column:
+    """Sorts by code point, null last; never null itself."""
+    return F.when(source.isNull(), "t").otherwise(F.concat(F.lit("s"), source))
+
+
+def in_cells(
+    df: DataFrame, seed: str, buckets: int, cell_rows: int,
+    id_col: str, text_col: str, source_col: str, carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """Every row with its size and its cell; column i of ``carry`` is called ``carried_<i>``."""
+    source, text = F.col(source_col).cast("string"), F.col(text_col).cast("string")
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    draw = _md5_number(
+        F.concat(F.lit(f"{seed}:"), name, F.lit(":"), F.md5(F.coalesce(text, F.lit("")))), 15
+    )
+    rows = df.select(
+        F.col(id_col).alias("doc_id"), source.alias("source"), word_count(text).alias("size"),
+        _source_key(source).alias("source_key"), draw.alias("draw"),
+        *(F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)),
+    )
+    # Reads the sources alone; written, so that its size is known to be small.
+    large = stored(
+        df.groupBy(_source_key(source).alias("source_key"))
+        .agg(F.floor(F.count(F.lit(1)) / cell_rows).cast("long").alias("more"))
+        .filter("more > 0")
+    )
+    parts = F.lit(buckets) + F.coalesce("more", F.lit(0))
+    return rows.join(large, "source_key", "left").select(
+        *rows.columns, size_class(F.col("size")).cast("int").alias("class"),
+        F.pmod("draw", parts).alias("bucket"),
+    )
+
+
 def _counted(
     df: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -93,36 +133,31 @@ def _counted(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    buckets: int = BUCKETS,
+    cell_rows: int = CELL_ROWS,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Every row with its copies; column i of ``carry`` is called ``carried_<i>``."""
-    rows = df.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).cast("string").alias("source"),
-        word_count(F.col(text_col).cast("string")).alias("size"),
-        *(F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)),
-    )
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    keyed = rows.select(
-        "*",
-        # Sorts by code point, null last; never null itself.
-        F.when(F.col("source").isNull(), "t").otherwise(F.concat(F.lit("s"), "source"))
-        .alias("source_key"),
-        size_class(F.col("size")).cast("int").alias("class"),
-        F.pmod(_md5_number(F.concat(F.lit(seed + ":"), name)), F.lit(BUCKETS)).cast("int")
-        .alias("bucket"),
-    )
+    keyed = in_cells(df, seed, buckets, cell_rows, id_col, text_col, source_col, carry)
     cell = ["source_key", "class", "bucket"]
-    cells = keyed.groupBy(*cell).agg(
+    cells = stored(keyed.groupBy(*cell).agg(
         F.count(F.lit(1)).alias("cell_rows"), F.sum("size").alias("cell_size")
+    ))
+    classes = cells.groupBy("source_key", "class").agg(
+        F.sum("cell_rows").alias("class_rows"), F.sum("cell_size").alias("class_size")
     )
-    in_order = Window.partitionBy("source_key").orderBy("class", "bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    placed = cells.select(
-        *cell, F.coalesce(F.sum("cell_rows").over(in_order), F.lit(0)).alias("rows_before")
-    )
-    sizes = cells.groupBy("source_key").agg(F.sum("cell_size").alias("source_size"))
+
+    def sum_before(rows: str, window) -> Column:
+        preceding = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(rows).over(preceding), F.lit(0))
+
+    of_class = Window.partitionBy("source_key", "class").orderBy("bucket")
+    of_source = Window.partitionBy("source_key").orderBy("class")
+    placed = cells.select(*cell, sum_before("cell_rows", of_class).alias("cells_before")).join(
+        classes.select("source_key", "class", sum_before("class_rows", of_source).alias("before")),
+        ["source_key", "class"],
+    ).select(*cell, (F.col("cells_before") + F.col("before")).alias("rows_before"))
+    sizes = classes.groupBy("source_key").agg(F.sum("class_size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     offset = _md5_number(F.concat(F.lit(seed + "|"), "source_key")) / F.lit(float(1 << 32))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -131,7 +166,7 @@ def _counted(
                        offset.alias("offset")),
         "source_key",
     )
-    within = Window.partitionBy(*cell).orderBy("size", "doc_id")
+    within = Window.partitionBy(*cell).orderBy("size", "doc_id", "draw")
     numbered = keyed.withColumn("number", F.row_number().over(within)).join(rated, cell)
     last = F.col("rows_before") + F.col("number")
     copies = F.floor(last * F.col("rate") + F.col("offset")) - F.floor(
@@ -143,7 +178,7 @@ def _counted(
 def mix_sources(df: DataFrame, **options) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) for every row: ``copies`` is
     how often the mix has the document, ``taken`` the words it takes of it. Options are those
-    of `source_targets`, ``seed`` and the names of columns; ``most`` must be whole for the
+    of `source_targets`, ``seed``, ``buckets``, ``cell_rows`` and the names of columns; ``most`` must be whole for the
     bound on copies to hold exactly."""
     return _counted(df, **options).select(
         "doc_id", "source", "size", "source_size", "target", "copies",

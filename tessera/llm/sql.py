@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm.mixing import BUCKETS, SIZE_BITS, WEIGHTS
+from tessera.llm.mixing import BUCKETS, CELL_ROWS, SIZE_BITS, WEIGHTS
 from tessera.llm.url_filters import BLOCK_WEIGHT, SOFT_TERMS, STRICT_TERMS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,19 +52,23 @@ FROM judged
 """
 
 
-def mix_sources(table: str = "documents", seed: str = "mix") -> str:
+def mix_sources(
+    table: str = "documents", seed: str = "mix", buckets: int = BUCKETS, cell_rows: int = CELL_ROWS
+) -> str:
     """Copies by the same rule, with whole-source windows instead of counted cells."""
     weights = "[" + ", ".join(map(str, WEIGHTS)) + "]"
-    number = "CAST(('0x' || substr(md5({}), 1, 8)) AS BIGINT)"
-    name = f"'{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')"
+    number = "CAST(('0x' || substr(md5({}), 1, {})) AS BIGINT)"
+    name = (f"'{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' "
+            "|| md5(coalesce(text, ''))")
     return f"""
 WITH sized AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS source_key,
-         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+         {number.format(name, 15)} AS draw
   FROM {table}
 ), classed AS (
   SELECT *, greatest(0, length(bin(size)) - {SIZE_BITS}) AS shift,
-         {number.format(name)} % {BUCKETS} AS bucket
+         draw % ({buckets} + count(*) OVER (PARTITION BY source_key) // {cell_rows}) AS bucket
   FROM sized
 ), sources AS (
   SELECT source_key, CAST(sum(size) AS BIGINT) AS source_size,
@@ -85,12 +89,12 @@ WITH sized AS (
   SELECT *, max(level) OVER () AS reached FROM levels
 ), targets AS (
   SELECT source_key, source_size, least(cap, reached * weight) AS target,
-         {number.format(f"'{seed}|' || source_key")} / CAST(4294967296 AS DOUBLE) AS shifted
+         {number.format(f"'{seed}|' || source_key", 8)} / CAST(4294967296 AS DOUBLE) AS shifted
   FROM final
 ), numbered AS (
   SELECT *, row_number() OVER (PARTITION BY source_key
               ORDER BY (size >> shift) + shift * {1 << (SIZE_BITS + 1)}, bucket, size,
-                       doc_id NULLS FIRST) AS n
+                       doc_id NULLS FIRST, draw) AS n
   FROM classed
 ), copied AS (
   SELECT doc_id, size, source_size, target,

@@ -194,6 +194,26 @@ def test_mix_is_its_sql_and_native(docs, rows_of):
     assert rows_of(again) == rows_of(found)
 
 
+def test_mix_splits_a_source_of_one_size_without_ids(docs, rows_of):
+    rows = [(None, f"a b c{i % 1500}", None, "hot") for i in range(2000)]
+    rows += [(i, "x y", None, "b") for i in range(90)]
+    options = {"cell_rows": 40}
+    columns = {"id_col": "doc_id", "text_col": "text", "source_col": "source"}
+    placed = mixing.in_cells(docs(rows), "mix", mixing.BUCKETS, 40, **columns)
+    cells = placed.groupBy("source_key", "class", "bucket").count().collect()
+    hot = [c["count"] for c in cells if c["source_key"] == "shot"]
+    assert len(hot) == mixing.BUCKETS + 2000 // 40 and sum(hot) == 2000 and max(hot) <= 60
+    con = duckdb.connect()
+    con.execute("create table documents(doc_id bigint, text varchar, source varchar)")
+    con.executemany("insert into documents values (?, ?, ?)", [(r[0], r[1], r[3]) for r in rows])
+    answer = con.execute(sql.mix_sources(**options))
+    names = [c[0] for c in answer.description]
+    found = mixing.mix_sources(docs(rows), **options)
+    assert rows_of(found.select(*names)) == sorted(answer.fetchall(), key=repr)
+    target = found.filter("source = 'hot'").first()["target"]
+    assert abs(found.filter("source = 'hot'").agg(F.sum("taken")).first()[0] - target) <= 6
+
+
 def test_mixed_documents_and_edges(docs, rows_of):
     rows = mix_rows(60)
     taken = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(docs(rows)).collect()}
