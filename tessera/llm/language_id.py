@@ -4,22 +4,24 @@ The network reads a text's bytes forwards and backwards and labels every byte wi
 probabilities of the languages; a document's probabilities are the mean over its bytes. Its
 states start anew at white space, so a byte's label depends on its word alone and a word that
 occurs again need not be read again: tasks label distinct words and add up by occurrence. Words
-longer than ``PIECE`` bytes are read in pieces of that length.
+longer than ``PIECE`` bytes are read in pieces of at most that length, cut between characters.
 
 The network is trained in numpy by backpropagation through time, on the driver, from a bounded
 sample of every language: about ``sample_rows`` labelled rows of each, chosen by a hash of id and
 text among distinct rows, and of each row at most ``WORDS_PER_ROW`` words drawn from its whole
 text, in the tasks, so that only those words come to the driver. The languages share about ``SAMPLE_WORDS`` words, but none has a share of less than
 ``LEAST_WORDS``: of many languages, rows give fewer words, and then fewer rows are drawn.
+States and steps of training grow with the logarithm of the number of languages (`network_size`).
 Prediction reads the whole text of every row and nothing but the text.
 
 Null texts, and texts without a letter, are ``und`` with score 0, as is everything when there
 is nothing to learn from. Ties go to the first language by name. Repeated rows are judged each
-for itself.
+for itself. Very long texts are read whole, one at a time; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,15 +31,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import stored
+
 UNDETERMINED = "und"
 PIECE = 32
-HIDDEN = 8
-STEPS = 300
+STATES_PER_BIT = 2  # states and steps for each doubling of the languages
+STEPS_PER_BIT = 150
 BATCH = 256
 RATE = 0.02
 SAMPLE_ROWS = 400
 WORDS_PER_ROW = 300
-MANY_LANGUAGES = 50  # with more, the network has twice the states and three times the steps
 SAMPLE_WORDS = 1_000_000
 LEAST_WORDS = 200
 CACHED_WORDS = 800_000  # words whose labels a task remembers before it starts afresh
@@ -149,13 +152,17 @@ class Network:
 
 
 def pieces(text: bytes) -> list[bytes]:
-    """The words, cut to pieces, each with one blank before it."""
+    """The words, cut to pieces of whole characters, each with one blank before it."""
     found = []
     for word in text.split():
-        if len(word) <= PIECE:
-            found.append(word)
-        else:
-            found.extend(word[at : at + PIECE] for at in range(0, len(word), PIECE))
+        at = 0
+        while len(word) - at > PIECE:
+            end = at + PIECE
+            while end > at + PIECE - 4 and word[end] & 0xC0 == 0x80:  # inside a character
+                end -= 1
+            found.append(word[at:end])
+            at = end
+        found.append(word[at:])
     return found
 
 
@@ -164,14 +171,24 @@ def _matrix(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(b" " + w for w in words), np.uint8).reshape(len(words), -1)
 
 
-def train(samples: list[tuple[str, bytes]], steps: int = STEPS, seed: int = 7) -> Network | None:
-    """A network from (language, text) samples; the same for the same samples."""
+def network_size(languages: int) -> tuple[int, int]:
+    """The states of a direction and the steps of training for so many languages."""
+    bits = math.log2(max(2, languages))
+    return 4 + round(STATES_PER_BIT * bits), round(STEPS_PER_BIT * bits)
+
+
+def train(
+    samples: list[tuple[str, bytes]], hidden: int | None = None, steps: int | None = None,
+    seed: int = 7,
+) -> Network | None:
+    """A network from (language, text) samples; the same for the same samples. States and steps
+    are those of `network_size` unless given."""
     languages = sorted({language for language, _ in samples})
     if not languages:
         return None
     numbers = {language: i for i, language in enumerate(languages)}
-    many = len(languages) > MANY_LANGUAGES
-    hidden, steps = (2 * HIDDEN, 3 * steps) if many else (HIDDEN, steps)
+    by_rule = network_size(len(languages))
+    hidden, steps = hidden or by_rule[0], steps or by_rule[1]
     batch = min(BATCH, max(1, LABELS_AT_ONCE // ((PIECE + 1) * len(languages))))
     random = np.random.default_rng(seed)
     by_length: dict[int, tuple[list[bytes], list[int]]] = {}
@@ -291,17 +308,16 @@ def sample_of(
         F.col(lang_col).cast("string").alias("lang"),
     ).filter("lang is not null and text is not null").withColumn("key", F.xxhash64("id", "text"))
     draw = F.pmod("key", F.lit(1 << 30)) / float(1 << 30)
-    counts = named.groupBy("lang").agg(
+    # Written, so that its size is known and texts are not shuffled to meet a few languages.
+    counts = stored(named.groupBy("lang").agg(
         F.approx_count_distinct("key").alias("count"), F.min(draw).alias("least")
-    ).collect()
-    if not counts:
+    ))
+    languages = counts.count()
+    if not languages:
         return []
-    share = max(LEAST_WORDS, SAMPLE_WORDS // len(counts))
+    share = max(LEAST_WORDS, SAMPLE_WORDS // languages)
     rows = max(1, min(rows, share))
-    fractions = {
-        r["lang"]: max(r["least"], min(1.0, rows / max(1, r["count"]))) for r in counts
-    }
-    fraction = F.create_map(*(F.lit(x) for pair in fractions.items() for x in pair))
+    fraction = F.greatest("least", F.lit(float(rows)) / F.greatest("count", F.lit(1)))
     each = min(WORDS_PER_ROW, max(1, share // rows))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,14 +330,13 @@ def sample_of(
                 [*batch.columns[:2], pa.array(found, pa.binary())], names=["lang", "key", "words"]
             )
 
-    chosen = named.withColumn("fraction", F.element_at(fraction, F.col("lang"))).filter(
+    chosen = named.join(counts.select("lang", fraction.alias("fraction")), "lang").filter(
         draw <= F.col("fraction")
     ).select("lang", "key", "text").mapInArrow(
         words, "lang string, key long, words binary"
     ).dropDuplicates(["lang", "key"]).withColumn(
         "place", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "key"))
     ).filter(F.col("place") <= 2 * rows)
-    each = min(WORDS_PER_ROW, max(1, share // rows))
     return [(r["lang"], bytes(r["words"])) for r in chosen.toLocalIterator()]
 
 

@@ -1,3 +1,5 @@
+import math
+
 import brute
 import numpy as np
 import pytest
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import language_id as L
 from tessera.llm.common import read_table
+from tessera.llm.queries import op7_language_id
 
 SF = "/root/testdata/sf0.01"
 
@@ -56,6 +59,80 @@ def test_words_are_judged_as_when_read_alone():
     assert labeller.judge(texts) == got
 
 
+def sigmoid(x):
+    return 1 / (1 + math.exp(-x))
+
+
+def plain_states(layer, data):
+    """The states after every byte, by one loop per unit."""
+    units = len(layer.recurrent)
+    state, found = [0.0] * units, []
+    for byte in data:
+        given = [float(x) for x in layer.inputs[byte]]
+        own = [
+            sum(state[k] * float(layer.recurrent[k, c]) for k in range(units))
+            for c in range(3 * units)
+        ]
+        after = []
+        for u in range(units):
+            update = sigmoid(given[u] + own[u])
+            reset = sigmoid(given[units + u] + own[units + u])
+            fresh = math.tanh(given[2 * units + u] + reset * own[2 * units + u])
+            after.append(update * state[u] + (1 - update) * fresh)
+        state = after
+        found.append(state)
+    return found
+
+
+def plain_label(network, text):
+    """Mean probabilities of the languages over all bytes of all words."""
+    total = [0.0] * len(network.languages)
+    for word in text.encode().split():
+        data = b" " + word
+        ahead = plain_states(network.forward, data)
+        back = plain_states(network.backward, data[::-1])[::-1]
+        for one, other in zip(ahead, back, strict=True):
+            both = [*one, *other]
+            raw = [
+                math.exp(float(network.bias[k])
+                         + sum(v * float(network.output[i, k]) for i, v in enumerate(both)))
+                for k in range(len(total))
+            ]
+            total = [t + r / sum(raw) for t, r in zip(total, raw, strict=True)]
+    return [t / sum(total) for t in total]
+
+
+def test_query_is_a_plain_loop_over_the_network(spark):
+    docs = read_table(spark, SF, "documents")
+    learn = ~L.held_out(F.col("doc_id"), 4, 2)
+    network = L.train(L.sample_of(docs, learn, "doc_id", "text", "lang", L.SAMPLE_ROWS))
+    short = [
+        r for r in docs.filter("length(text) < 400").orderBy("doc_id").collect()
+        if L.has_letter(r["text"]) and max(map(len, r["text"].encode().split())) <= L.PIECE
+    ][:12]
+    got = {r["doc_id"]: r for r in op7_language_id(spark, SF).collect()}
+    assert len(short) == 12
+    for row in short:
+        wanted = plain_label(network, row["text"])
+        found = got[row["doc_id"]]
+        assert found["lang_pred"] == network.languages[wanted.index(max(wanted))]
+        assert found["score"] == pytest.approx(max(wanted), rel=1e-3)
+
+
+def test_pieces_keep_characters_whole():
+    text = "語" * 100 + " " + "é" * 41 + " " + "a" * 70 + " x"
+    cut = L.pieces(text.encode())
+    assert b"".join(cut) == text.replace(" ", "").encode()
+    assert all(0 < len(piece) <= L.PIECE and piece.decode() for piece in cut)
+    assert L.pieces(b"\x80" * 70) and b"".join(L.pieces(b"\x80" * 70)) == b"\x80" * 70
+
+
+def test_the_network_grows_without_a_step():
+    sizes = [L.network_size(n) for n in range(1, 400)]
+    assert sizes[3] == (8, 300) and L.network_size(250) == (20, 1195)
+    assert all(0 <= b[0] - a[0] <= 2 for a, b in zip(sizes[1:], sizes[2:], strict=False))
+
+
 def test_held_out_accuracy(spark):
     docs = read_table(spark, SF, "documents")
     held_out = L.held_out(F.col("doc_id"), 4, 2)
