@@ -1,7 +1,9 @@
 """Channel tables derived from an order/line-item star schema plus an event log.
 
 Used by the registered queries, the tests and the benchmark. The joins carry no hints:
-dimension tables that are small get broadcast by their size, large ones are shuffled.
+dimension tables that are small get broadcast by their size, large ones are shuffled. Joins
+take the tables' own columns and of a customer the name alone; what is derived from them is
+wider and is worked out above the joins.
 """
 
 from __future__ import annotations
@@ -56,15 +58,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key and identity of every customer; computed before the joins that need them."""
-    return read_table(spark, sf_dir, "customer").selectExpr("c_custkey", *IDENTITY)
+    """Key and identity of every customer."""
+    return customer_names(spark, sf_dir).selectExpr("c_custkey", *IDENTITY)
+
+
+def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the identity of a customer is derived from."""
+    return read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
 
 
 def mobile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders")
-    rows = orders.selectExpr(
-        "o_custkey as c_custkey",
+    orders = read_table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    rows = orders.join(customer_names(spark, sf_dir), "c_custkey").selectExpr(
         "o_orderkey as row_key",
+        *IDENTITY,
         "concat('MOB-', o_orderkey) as order_id",
         "if(o_orderkey % 2 = 0, 'iOS', 'Android') as device_platform",
         "elt(int(o_orderkey % 4) + 1, '6.4.1', '6.5.0', '6.6.2', '7.0.0') as app_version",
@@ -77,7 +84,7 @@ def mobile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case o_orderstatus when 'F' then 'completed' when 'O' then 'active' "
         "else 'late_payment' end as status",
         "o_orderdate as order_ts",
-    ).join(customers(spark, sf_dir), "c_custkey")
+    )
     others = [c for c in rows.columns if c not in CUSTOMER]
     rows = rows.selectExpr(*others, *varied("row_key"))
     stored = f"if(row_key % 60 = 11, 1.00, {INSTALLMENT_AMOUNT}) as installment_amount"
@@ -85,7 +92,9 @@ def mobile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partner_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders")
+    orders = read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as l_orderkey", "o_custkey as c_custkey"
+    )
     partners = (
         read_table(spark, sf_dir, "supplier")
         .join(read_table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey"),
@@ -95,10 +104,10 @@ def partner_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = (
         read_table(spark, sf_dir, "lineitem")
-        .join(orders.selectExpr("o_orderkey as l_orderkey", "o_custkey as c_custkey"),
-              "l_orderkey")
-        .join(customers(spark, sf_dir), "c_custkey")
+        # The customers first: so each line item is shuffled once, by its order.
+        .join(orders.join(customer_names(spark, sf_dir), "c_custkey"), "l_orderkey")
         .join(partners, "l_suppkey")
+        .selectExpr("*", *IDENTITY)
         .selectExpr(
             "concat('PRT-', l_orderkey, '-', l_linenumber) as loan_id",
             *varied("(l_orderkey * 8 + l_linenumber)"),
@@ -120,9 +129,11 @@ def partner_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def web_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         read_table(spark, sf_dir, "events")
+        .withColumnRenamed("user_id", "c_custkey")
+        .join(customer_names(spark, sf_dir), "c_custkey")
         .selectExpr(
-            "user_id as c_custkey",
             "event_id as row_key",
+            *IDENTITY,
             "concat('WEB-', event_id) as application_id",
             "elt(int(event_id % 6) + 1, 'google_ads', 'meta_ads', 'tiktok', 'organic', 'email', "
             "'referral') as utm_source",
@@ -139,7 +150,6 @@ def web_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
             "else 'passed' end as kyc_status",
             "date(ts) as applied_date",
         )
-        .join(customers(spark, sf_dir), "c_custkey")
     )
     others = [c for c in rows.columns if c not in CUSTOMER]
     return conform(rows.selectExpr(*others, *varied("row_key")), WEB)

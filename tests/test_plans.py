@@ -111,6 +111,35 @@ def test_lookup_scans_each_channel_once(stored):
     assert counts(found) == {"scans": 4, "shuffles": 5, "joins": 0}
 
 
+def shuffled(node):
+    """The columns of every shuffle below a node of a physical plan."""
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    found = [columns for child in children for columns in shuffled(child)]
+    if node.nodeName() == "Exchange":
+        output = node.output()
+        found.append({output.apply(i).name() for i in range(output.size())})
+    return found
+
+
+@pytest.mark.parametrize("name", ["null_report", "reject_reasons"])
+def test_joins_shuffle_given_columns_and_line_items_once(spark, name):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = entry.queries()[name](spark, SF)
+        found = shuffled(df._jdf.queryExecution().executedPlan())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    derived = {"customer_id", "email", "first_name", "last_name", "order_id", "loan_id",
+               "application_id", "app_version", "bnpl_plan", "utm_source", "loan_purpose"}
+    assert not [columns & derived for columns in found if columns & derived]
+    # By order, and by supplier where suppliers are too many to broadcast; never by customer.
+    assert len([columns for columns in found if "l_linenumber" in columns]) == 2
+
+
 @pytest.mark.parametrize("name", sorted(entry._queries()))
 def test_building_a_query_starts_no_job(spark, name):
     if not os.path.isdir(SF):
