@@ -16,7 +16,8 @@ The trie is spread over the cluster. Blocks of documents send their distinct wor
 distinct grams of all go to the part of the last two bytes of their context, which has the
 whole trie under it: contexts of one byte and of none are a table of at most 257 x 257 counts
 that every task has. Each distinct gram is coded once, and its code length goes back to the
-blocks that have it, in 32 bits, which add up their documents in 64.
+blocks that have it, in 32 bits, which add up their documents in 64. Blocks that only count
+sort their grams; blocks that score look every symbol's gram up once, in one hash table.
 
 Null texts are empty: one token, the end. Rows that may not be learned from are scored like the
 others. Without training documents all symbols are equally likely and no token is known.
@@ -26,7 +27,7 @@ fingerprints, grams exactly.
 
 from __future__ import annotations
 
-from collections import Counter
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,18 +58,17 @@ def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """The gram that ends at every symbol of every text, and where each text's begin."""
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     starts = np.cumsum(sizes) - sizes
-    symbols = np.full(int(sizes.sum()), EDGE, np.int64)
-    ends = starts + sizes - 1
-    inside = np.ones(len(symbols), bool)
-    inside[ends] = False
-    symbols[inside] = np.frombuffer(b"".join(texts), np.uint8)
-    place = np.arange(len(symbols)) - np.repeat(starts, sizes)
+    symbols = np.frombuffer(END_OF_TEXT.join([*texts, b""]), np.uint8).astype(np.int64)
+    symbols[starts + sizes - 1] = EDGE
     grams = symbols.copy()
     for back in range(1, order + 1):
-        before = np.full(len(symbols), EDGE, np.int64)
-        before[back:] = symbols[:-back]
-        before[place < back] = EDGE
-        grams |= before << (BITS * back)
+        grams[back:] |= symbols[:-back] << (BITS * back)
+    for place in range(order):  # contexts that reach back before their text
+        at = starts[sizes > place] + place
+        first = symbols[at]
+        for back in range(1, order + 1):
+            first |= (symbols[at - back] if back <= place else EDGE) << (BITS * back)
+        grams[at] = first
     return grams, starts
 
 
@@ -84,6 +84,45 @@ def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield chunk
 
 
+def grams_in(texts: list[bytes], order: int) -> np.ndarray:
+    """The grams of all texts one after the other, made chunk by chunk."""
+    grams, done = np.empty(sum(map(len, texts)) + len(texts), np.int64), 0
+    for chunk in _chunks(texts):
+        found, _ = grams_of(chunk, order)
+        grams[done:done + len(found)] = found
+        done += len(found)
+    return grams
+
+
+def words_in(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Every word's place among the distinct words of the texts, these, and each text's number
+    of words. A word is looked up once, where it is found, in the bytes of all texts."""
+    ended = np.frombuffer(END_OF_TEXT.join([*texts, b""]), np.uint8)
+    solid = (ended != 32) & ((ended < 9) | (ended > 13))
+    edges = np.flatnonzero(np.diff(solid, prepend=False))  # an end follows every text
+    first, after = edges[::2], edges[1::2]
+    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    numbers = np.diff(np.searchsorted(first, ends), prepend=0)
+    offsets = np.append(0, np.cumsum(after - first))
+    coded = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(ended[solid])]
+    ).dictionary_encode()
+    _, bounds, letters = coded.dictionary.buffers()
+    if not len(coded.dictionary):
+        return NOWHERE, [], numbers
+    cuts = np.frombuffer(bounds, np.int64)[:len(coded.dictionary) + 1].tolist()
+    letters = letters.to_pybytes()
+    words = [letters[a:b] for a, b in itertools.pairwise(cuts)]
+    return coded.indices.to_numpy(), words, numbers
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and how often each occurs; the keys given are sorted in place."""
+    keys.sort()
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else NOWHERE
+    return keys[starts], np.diff(np.append(starts, len(keys)))
+
+
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with the sums of their counts."""
     if not keys:
@@ -100,9 +139,9 @@ def _word_keys(words) -> list[int]:
 
 
 class Block:
-    """A block's texts in order, its distinct words and grams and their training counts."""
+    """A block's texts in order and its distinct words, the end of a text among them."""
 
-    def __init__(self, table: pa.Table, order: int, count: bool):
+    def __init__(self, table: pa.Table):
         ids, learn = table.column("doc_id").to_pylist(), table.column("learn").to_pylist()
         texts = list(map(lowered, table.column("text").to_pylist()))
         rows = sorted(
@@ -112,48 +151,53 @@ class Block:
         self.ids = [ids[i] for i in rows]
         self.texts = [texts[i] for i in rows]
         self.learn = [bool(learn[i]) for i in rows]
-        if count:
-            self._count(order)
-
-    def _count(self, order: int) -> None:
-        words: Counter[bytes] = Counter()
-        others: set[bytes] = set()
-        for text, learn in zip(self.texts, self.learn, strict=True):
-            if learn:
-                words.update(text.split())
-                words[END_OF_TEXT] += 1
-            else:
-                others.update(text.split())
-                others.add(END_OF_TEXT)
-        for word in others:
-            words.setdefault(word, 0)
+        found, words, numbers = words_in(self.texts)
+        words.append(END_OF_TEXT)
         keys = np.array(_word_keys(words), np.uint64)
         sorting = np.argsort(keys)
         self.words = keys[sorting]
         places = np.empty(len(keys), np.int64)
         places[sorting] = np.arange(len(keys))
-        self.places = dict(zip(words, places.tolist(), strict=True))
-        self.word_counts = np.fromiter(words.values(), np.int64, len(words))[sorting]
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        # The place of every text's words and of its end among the distinct ones.
+        self.sizes = numbers + 1
+        ends = np.cumsum(self.sizes) - 1
+        self.tokens = np.full(int(self.sizes.sum()), places[-1])
+        inside = np.ones(len(self.tokens), bool)
+        inside[ends] = False
+        self.tokens[inside] = places[found]
+
+    def word_counts(self) -> np.ndarray:
+        """The distinct words' counts in the training texts."""
+        return np.bincount(
+            self.tokens[np.repeat(self.learn, self.sizes)], minlength=len(self.words)
+        )
+
+    def gram_counts(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct grams in order and their counts in the training texts."""
+        found = []
         for learn in (True, False):
             texts = [t for t, own in zip(self.texts, self.learn, strict=True) if own == learn]
-            for chunk in _chunks(texts):
-                grams, counts = np.unique(grams_of(chunk, order)[0], return_counts=True)
-                found.append((grams, counts if learn else np.zeros_like(counts)))
-        self.grams, self.gram_counts = merged([g for g, _ in found], [c for _, c in found])
+            grams, counts = counted(grams_in(texts, order))
+            found.append((grams, counts if learn else np.zeros_like(counts)))
+        return merged([g for g, _ in found], [c for _, c in found])
 
-    def dealt(self, parts: int) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
-        """The places of the words, and of the grams, that go to each part."""
-        return (dict(dealt(_word_part(self.words, parts))),
-                dict(dealt(_gram_part(self.grams, parts))))
+    def gram_places(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct grams in order, the same in the order found, and every symbol's place
+        in the latter: one hash table over the block, nothing is sorted per symbol."""
+        coded = pa.array(grams_in(self.texts, order)).dictionary_encode()
+        found = coded.dictionary.to_numpy()
+        sorting = np.argsort(found)
+        return found[sorting], sorting, coded.indices.to_numpy()
 
 
-def _word_part(keys: np.ndarray, parts: int) -> np.ndarray:
-    return (keys >> np.uint64(13)) % np.uint64(parts)
+def _words_dealt(keys: np.ndarray, parts: int) -> dict[int, np.ndarray]:
+    """The places of the words that go to each part."""
+    return dict(dealt((keys >> np.uint64(13)) % np.uint64(parts)))
 
 
-def _gram_part(grams: np.ndarray, parts: int) -> np.ndarray:
-    return mix(grams.astype(np.uint64)) % np.uint64(parts)
+def _grams_dealt(grams: np.ndarray, parts: int) -> dict[int, np.ndarray]:
+    """The places of the grams that go to each part."""
+    return dict(dealt(mix(grams.astype(np.uint64)) % np.uint64(parts)))
 
 
 def _trie_part(grams: np.ndarray, parts: int) -> np.ndarray:
@@ -164,15 +208,17 @@ def _trie_part(grams: np.ndarray, parts: int) -> np.ndarray:
 def _features(order: int, parts: int):
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        own = Block(table, order, count=True)
-        words, grams = own.dealt(parts)
+        own = Block(table)
+        word_counts = own.word_counts()
+        own_grams, gram_counts = own.gram_counts(order)
+        words, grams = _words_dealt(own.words, parts), _grams_dealt(own_grams, parts)
         rows = []
         for part in sorted(words.keys() | grams.keys()):
             w, g = words.get(part, NOWHERE), grams.get(part, NOWHERE)
             rows.append((
                 part, block, pack(own.words[w], np.uint64, rising=True),
-                pack(own.word_counts[w], np.int64),
-                pack(own.grams[g], np.int64, rising=True), pack(own.gram_counts[g], np.int64),
+                pack(word_counts[w], np.int64),
+                pack(own_grams[g], np.int64, rising=True), pack(gram_counts[g], np.int64),
             ))
         return _packed(FEATURES, rows)
 
@@ -352,29 +398,29 @@ def _scores(order: int, parts: int, train_tokens: int, distinct: int):
     def run(docs: pa.Table, values: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return SCORES.empty_table()
-        block = Block(docs, order, count=True)
+        block = Block(docs)
+        grams, sorting, places = block.gram_places(order)
         totals = np.zeros(len(block.words), np.int64)
-        lengths = np.zeros(len(block.grams))
-        words, grams = block.dealt(parts)
+        lengths = np.zeros(len(grams))
+        words_to, grams_to = _words_dealt(block.words, parts), _grams_dealt(grams, parts)
         for row in values.to_pylist():
-            totals[words.get(row["part"], NOWHERE)] = unpack(row["word_totals"], np.int64)
-            lengths[grams.get(row["part"], NOWHERE)] = unpack(row["lengths"], np.float32)
+            at = words_to.get(row["part"], NOWHERE)
+            totals[at] = unpack(row["word_totals"], np.int64)
+            at = sorting[grams_to.get(row["part"], NOWHERE)]
+            lengths[at] = unpack(row["lengths"], np.float32)
         # Logarithms are taken once per count, so that equal counts give equal terms.
-        terms = np.log10(totals + 0.5)
-        tokens, known, base = [], [], []
-        for text in block.texts:
-            own = [*text.split(), END_OF_TEXT]
-            at = np.fromiter(map(block.places.__getitem__, own), np.int64, len(own))
-            tokens.append(len(own))
-            known.append(int((totals[at] > 0).sum()))
-            base.append(float(terms[at].sum() - len(own) * room))
+        starts = np.cumsum(block.sizes) - block.sizes
+        terms, seen = np.log10(totals + 0.5), (totals > 0).astype(np.int64)
+        tokens = block.sizes
+        known = np.add.reduceat(seen[block.tokens], starts)
+        base = np.add.reduceat(terms[block.tokens], starts) - tokens * room
         scores: list[float] = []
+        done = 0
         for chunk in _chunks(block.texts):
-            found, starts = grams_of(chunk, order)
-            by_gram = np.argsort(found)  # sorted, they are looked up in one sweep
-            each = np.empty(len(found))
-            each[by_gram] = lengths[np.searchsorted(block.grams, found[by_gram])]
-            scores.extend(np.add.reduceat(each, starts).tolist())
+            sizes = np.array([len(t) + 1 for t in chunk], np.int64)
+            each = lengths[places[done:done + int(sizes.sum())]]
+            scores.extend(np.add.reduceat(each, np.cumsum(sizes) - sizes).tolist())
+            done += len(each)
         columns = (block.ids, block.learn, tokens, known, [train_tokens] * len(tokens), base, scores)
         return pa.Table.from_arrays(
             [pa.array(c, f.type) for c, f in zip(columns, SCORES, strict=True)], schema=SCORES

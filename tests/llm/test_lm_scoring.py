@@ -2,6 +2,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,3 +63,53 @@ def test_nothing_to_learn_from(docs):
     assert (by_id[2]["n_tokens"], by_id[2]["n_known"], by_id[2]["train_tokens"]) == (1, 0, 0)
     assert by_id[2]["base_score"] == pytest.approx(0)
     assert M.score_texts(docs([]), F.lit(True)).collect() == []
+
+
+def test_words_and_grams_as_plain_loops_find_them():
+    cases = [["", " ", "a", "\x0b\x0cé x\t", "x  a", "\x1c\x85\xa0"], [""], ["\n"], texts(2, 30)]
+    for own in ([t.encode() for t in case] for case in cases):
+        places, words, numbers = M.words_in(own)
+        assert [words[i] for i in places] == [w for t in own for w in t.split()]
+        assert len(set(words)) == len(words)
+        assert numbers.tolist() == [len(t.split()) for t in own]
+        want = []
+        for text in own:
+            symbols = [M.EDGE] * 5 + list(text) + [M.EDGE]
+            want += [sum(symbols[i - b] << M.BITS * b for b in range(6))
+                     for i in range(5, len(symbols))]
+        assert M.grams_in(own, 5).tolist() == want
+
+
+def test_scores_sort_and_search_distinct_grams_only(monkeypatch):
+    """A block's symbols are looked up in one table; what is sorted or searched are its distinct
+    grams and words, however often they occur."""
+    own = texts(3, 20) * 50
+    table = pa.table({
+        "block": pa.array([0] * len(own), pa.int32()), "doc_id": list(range(len(own))),
+        "text": own, "learn": [True] * len(own),
+    })
+    features = M._features(5, 3)(table).to_pylist()
+    values = M._packed(M.VALUES, [
+        (0, r["part"], M.pack(M.unpack(r["word_counts"], np.int64), np.int64),
+         M.pack(-np.ones(len(M.unpack(r["grams"], np.int64))), np.float32), 0, 0)
+        for r in features
+    ])
+    sizes = []
+
+    def watched(name, of):
+        plain = getattr(np, name)
+
+        def run(*args, **kwargs):
+            sizes.append(len(args[of]))
+            return plain(*args, **kwargs)
+
+        monkeypatch.setattr(np, name, run)
+
+    watched("argsort", 0)
+    watched("searchsorted", 1)
+    scores = M._scores(5, 3, 1000, 100)(table, values)
+    symbols = sum(len(t.encode()) + 1 for t in own)
+    distinct = sum(len(M.unpack(r["grams"], np.int64)) for r in features)
+    assert scores.column("score").to_pylist() == [-(len(t.encode()) + 1.0) for t in own]
+    assert symbols > 10 * distinct
+    assert max(sizes) <= max(distinct, len(own))
